@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from .sentencepiece_bpe import op7_sentencepiece_rounds
 from .simhash import op9_simhash_anchors
+from .substring import op8_seed_extend
+from .wumanber import op6_wu_manber
 
-QUERIES = {f.__name__: f for f in (op9_simhash_anchors,)}
+QUERIES = {f.__name__: f for f in (op6_wu_manber, op7_sentencepiece_rounds, op8_seed_extend, op9_simhash_anchors)}
 ORACLE_SQL: dict[str, str] = {}
