@@ -53,10 +53,12 @@ class Vocabulary:
                 self.byte_ids[int(p[3:5], 16)] = i
                 self.bytes.append(bytes([int(p[3:5], 16)]))
             else:
-                self.bytes.append(b"" if special[i] else p.replace(MARK, " ").encode())
+                self.bytes.append(" ⁇ ".encode() if model.is_unknown(i) else b"" if special[i] else p.replace(MARK, " ").encode())
                 if not special[i]:
                     normal[p] = i
         self.is_byte = np.array([model.is_byte(i) for i in range(n)])
+        self.is_control = np.array([model.is_control(i) for i in range(n)])
+        self.is_normal = np.isin(np.arange(n), list(normal.values()))
         if any(MARK in p.lstrip(MARK) for p in normal) or any(c not in normal for p in normal for c in p):
             raise ValueError("the merges of this vocabulary cross word starts, or need characters that it lacks")
         self.char_id = np.full(0x110000, -1, np.int32)
@@ -192,14 +194,15 @@ def encode_ranges(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray) -> bytes:
-    """The text of one id sequence: the mark is a space, the first space is dropped, and bytes
-    that aren't UTF-8 become U+FFFD one by one."""
+    """The text of one id sequence: a mark is a space, but for one at the very start; bytes that aren't UTF-8
+    become U+FFFD one by one; the unknown id reads as a double question mark between spaces."""
     raw = b"".join(map(v.bytes.__getitem__, ids.tolist()))
     try:
         raw.decode()
     except UnicodeDecodeError:
         raw = _lenient(v, ids)
-    return raw.removeprefix(b" ")
+    spoken = ids[~v.is_control[ids]] if len(ids) else ids
+    return raw.removeprefix(b" ") if len(spoken) and v.is_normal[spoken[0]] else raw
 
 
 def _lenient(v: Vocabulary, ids: np.ndarray) -> bytes:
