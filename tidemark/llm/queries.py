@@ -2,10 +2,39 @@
 
 from __future__ import annotations
 
+from .chat import op3_reply_trees
+from .edit_counts import op5_edit_aware_counts
+from .html_text import op10_tree_scoring
+from .lines import OP2_SQL, op2_line_spread
+from .pseudonyms import op4_feistel_pseudonyms
+from .quality import op1_boosted_trees
 from .sentencepiece_bpe import op7_sentencepiece_rounds
 from .simhash import op9_simhash_anchors
 from .substring import op8_seed_extend
 from .wumanber import op6_wu_manber
 
-QUERIES = {f.__name__: f for f in (op6_wu_manber, op7_sentencepiece_rounds, op8_seed_extend, op9_simhash_anchors)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_boosted_trees, op2_line_spread, op3_reply_trees, op4_feistel_pseudonyms, op5_edit_aware_counts,
+        op6_wu_manber, op7_sentencepiece_rounds, op8_seed_extend, op9_simhash_anchors, op10_tree_scoring,
+    )
+}
+
+_OP3_SQL = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+  SELECT *, replace(replace(replace(text, '\', '\s'), '### ', '\o'), '</turn>', '\c') AS body FROM given
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + length(role) + 2 + length(body) + 8)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_spread": OP2_SQL, "op3_reply_trees": _OP3_SQL}

@@ -192,6 +192,20 @@ def _verdict(ids, n, spans, items, share: int) -> pa.RecordBatch:
     )
 
 
+def _blocked(benchmark: DataFrame, window: int, block_mb: float):
+    """(number of blocks, a function that broadcasts the patterns of one)."""
+    spark = benchmark.sparkSession
+    windows = written(windows_of(benchmark, window), "windows")
+    total = windows.agg(F.sum(F.octet_length("window") + 64)).first()[0] or 0
+    blocks = max(1, -(-int(total) // int(block_mb * 1e6)))
+
+    def block(b: int):
+        rows = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b).collect()  # one block: of bounded size
+        return spark.sparkContext.broadcast(Patterns([tuple(r) for r in rows]))
+
+    return blocks, block
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, block_mb: float = BLOCK_MB) -> DataFrame:
     """(doc_id, n_words, n_hit, items, spans, contaminated) for each row of docs.
 
@@ -200,16 +214,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     for and not listed; items of one id are one item.  Rows that share a doc_id are judged one by one, but
     as one document where the benchmark takes more than one block.  Other columns are ignored.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    windows = written(windows_of(benchmark, window), "windows")
-    total = windows.agg(F.sum(F.octet_length("window") + 64)).first()[0] or 0
-    blocks = max(1, -(-int(total) // int(block_mb * 1e6)))
-
-    def block(b: int):
-        rows = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b).collect()  # one block: of bounded size
-        return spark.sparkContext.broadcast(Patterns([tuple(r) for r in rows]))
-
+    blocks, block = _blocked(benchmark, window, block_mb)
     if blocks == 1:
         patterns = block(0)
 
@@ -247,10 +253,27 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs that are not contaminated."""
-    bad = contamination(docs, benchmark, **options).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, block_mb: float = BLOCK_MB) -> DataFrame:
+    """The rows of docs that are not contaminated, all columns unchanged.
+
+    A benchmark of one block is searched in place, without a shuffle; for a larger one each row
+    is judged under a number of its own, so that a null or repeated doc_id loses no row.
+    """
+    blocks, block = _blocked(benchmark, window, block_mb)
+    if blocks == 1:
+        patterns = block(0)
+
+        def run(batches):
+            for batch in batches:
+                for part in tb.slices(batch, "text"):
+                    n, spans, _ = _scan(part, patterns.value)
+                    hit = np.array([_hit(x, int(k)) for x, k in zip(spans, n, strict=True)], np.int64)
+                    yield part.filter(pa.array((hit == 0) | (share * hit < n)))
+
+        return docs.mapInArrow(run, docs.schema)
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    bad = contamination(numbered.select(F.col("_row").alias("doc_id"), "text"), benchmark, window, share, block_mb).where("contaminated").select(F.col("doc_id").alias("_row"))
+    return numbered.join(bad, "_row", "left_anti").drop("_row")
 
 
 def op6_wu_manber(spark, sf_dir: str) -> DataFrame:
