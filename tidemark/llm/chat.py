@@ -23,8 +23,6 @@ OPEN, HEAD, CLOSE = "### ", ":\n", "</turn>\n"
 #: What is replaced, in this order; read back in the reverse order.
 _ESCAPES = (("\\", "\\s"), ("### ", "\\o"), ("</turn>", "\\c"))
 _ROLE_ESCAPES = (*_ESCAPES, (":", "\\d"), ("\n", "\\n"))
-#: Most rounds of doubling: paths of 2**48 turns.
-ROUNDS = 48
 
 
 def _replaced(c: Column, pairs) -> Column:
@@ -49,28 +47,27 @@ def best_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     nodes = written(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     start = nodes.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("steps"), F.col("score").alias("total"))
-    jumps = [written(start, "jumps")]
-    for _ in range(ROUNDS):
-        at = jumps[-1]
-        if at.where("up is not null").isEmpty():
+    start = written(start, "start")
+    # at round k, `below` has the nodes with an ancestor 2**k steps up; the others know their root's distance and are done
+    below, done, jumps = start.where("up is not null"), [start.where("up is null")], []
+    for _ in range(nodes.count().bit_length() + 1):
+        if below.isEmpty():
             break
-        far = at.select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("steps").alias("more"), F.col("total").alias("add"))
-        there = F.col("up").isNotNull()
-        jumps.append(written(at.join(far, ["tree", "up"], "left").select("tree", "node", F.when(there, F.col("far")).alias("up"), F.when(there, F.col("steps") + F.col("more")).otherwise(F.col("steps")).alias("steps"), F.when(there, F.col("total") + F.col("add")).otherwise(F.col("total")).alias("total")), "jumps"))
-    ends = jumps[-1].where("up is null").select("tree", "node", "steps", "total")
+        jumps.append(below)
+        at = reduce(DataFrame.union, (x.select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("steps").alias("more"), F.col("total").alias("add")) for x in (below, *done)))
+        met = written(below.join(at, ["tree", "up"]).select("tree", "node", F.col("far").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("total") + F.col("add")).alias("total")), "jumps")
+        below = met.where("up is not null")
+        done.append(met.where("up is null"))
+    ends = reduce(DataFrame.union, done).select("tree", "node", "steps", "total")
     leaves = ends.join(nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct(), ["tree", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy((F.col("total") / (F.col("steps") + 1)).desc(), F.col("steps").desc(), "node"))
     chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= top)
     path = written(chosen.select("tree", F.col("node").alias("path"), "steps", "node"), "paths")
     for k, jump in enumerate(jumps):
-        if k and jump.where("up is not null").isEmpty():
-            break
-        further = path.join(jump.where("up is not null").select("tree", "node", "up"), ["tree", "node"]).select("tree", "path", (F.col("steps") - (1 << k)).alias("steps"), F.col("up").alias("node"))
+        further = path.join(jump.select("tree", "node", "up"), ["tree", "node"]).select("tree", "path", (F.col("steps") - (1 << k)).alias("steps"), F.col("up").alias("node"))
         longer = written(path.select("tree", "path", "steps", "node").union(further), "paths")
         dropped(path)
         path = longer
-    for x in jumps:
-        dropped(x)
     return path.select("tree", "path", F.col("steps").alias("pos"), "node")
 
 
