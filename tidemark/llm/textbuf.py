@@ -11,7 +11,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that are worked on at once; one longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -20,15 +20,23 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null("")
+    if len(column) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, off, data = column.buffers()
-    if len(column) == 0 or off is None:
-        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
     off = np.frombuffer(off, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[off[0] : off[-1]]
     return data, off - off[0]
 
 
+def fresh(stem: str, taken: list[str]) -> str:
+    """A column name that isn't taken, case aside."""
+    low = {c.lower() for c in taken}
+    while stem.lower() in low:
+        stem += "_"
+    return stem
+
+
 def sizes(column: pa.Array) -> np.ndarray:
     return np.diff(flat(column)[1])
 
