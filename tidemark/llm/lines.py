@@ -89,12 +89,13 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     Rows that had lines taken out and have no word left go: all their lines stay in another document.
     """
     names = docs.columns
+    key, gone = tb.fresh("_doc", names), tb.fresh("_gone", names)
 
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
-                texts, gone = part.column("text").to_pylist(), part.column("_gone").to_pylist()
-                out = [(_without(t, set(g))[0], True) if t is not None and g else (t, False) for t, g in zip(texts, gone, strict=True)]
+                texts, cuts = part.column("text").to_pylist(), part.column(gone).to_pylist()
+                out = [(_without(t, set(g))[0], True) if t is not None and g else (t, False) for t, g in zip(texts, cuts, strict=True)]
                 stay = [not cut or bool(t.strip()) for t, cut in out]
                 columns = {c: part.column(c) for c in names}
                 columns["text"] = pa.array([t for t, _ in out], pa.string())
@@ -102,8 +103,8 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
                     columns["n_chars"] = pa.array([len(t) if cut else n for (t, cut), n in zip(out, part.column("n_chars").to_pylist(), strict=True)], part.column("n_chars").type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(pa.array(stay, pa.bool_()))
 
-    hits = _hits(docs, min_sites).withColumnRenamed("doc_id", "_doc")
-    return docs.join(hits, docs.doc_id == hits["_doc"], "left").drop("_doc").mapInArrow(run, docs.schema)
+    hits = _hits(docs, min_sites).select(F.col("doc_id").alias(key), F.col("_gone").alias(gone))
+    return docs.join(hits, docs.doc_id == hits[key], "left").drop(key).mapInArrow(run, docs.schema)
 
 
 def op2_line_spread(spark, sf_dir: str) -> DataFrame:

@@ -137,9 +137,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, most_compared: int = MOST
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its near-duplicate group."""
-    kept = near_duplicates(docs, **options).where("doc_id = component").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """The rows of docs but those of documents in a near-duplicate group with a smaller doc_id.
+
+    Rows with a null doc_id stay; rows that share a doc_id stay or go together.
+    """
+    gone = near_duplicates(docs.where("doc_id is not null"), **options).where("doc_id != component").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def op9_simhash_anchors(spark, sf_dir: str) -> DataFrame:

@@ -271,9 +271,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
                     yield part.filter(pa.array((hit == 0) | (share * hit < n)))
 
         return docs.mapInArrow(run, docs.schema)
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    bad = contamination(numbered.select(F.col("_row").alias("doc_id"), "text"), benchmark, window, share, block_mb).where("contaminated").select(F.col("doc_id").alias("_row"))
-    return numbered.join(bad, "_row", "left_anti").drop("_row")
+    row = tb.fresh("_row", docs.columns)
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    bad = contamination(numbered.select(F.col(row).alias("doc_id"), "text"), benchmark, window, share, block_mb).where("contaminated").select(F.col("doc_id").alias(row))
+    return numbered.join(bad, row, "left_anti").select(docs.columns)
 
 
 def op6_wu_manber(spark, sf_dir: str) -> DataFrame:
