@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config
 
@@ -62,7 +63,7 @@ def on_line(first: Column, last: Column, index: Column, n: Column) -> Column:
     return first + (last - first) * index / (n - 1)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def geodesic_m(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
     """Distance in metres on the WGS 84 ellipsoid by Vincenty's inverse iteration; null where it doesn't settle (near antipodes)."""
     a, f = 6_378_137.0, 1 / 298.257223563

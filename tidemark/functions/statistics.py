@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def gamma_cdf(a: float, x: np.ndarray) -> np.ndarray:
@@ -53,7 +54,7 @@ def gamma_cdf(a: float, x: np.ndarray) -> np.ndarray:
 def chi2_cdf(value: Column, df: float) -> Column:
     """Distribution function of chi-squared; NULL for NULL, NaN and negative values."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def run(x: pd.Series) -> pd.Series:
         p = gamma_cdf(df / 2, x.to_numpy(float) / 2)
         return pd.Series(p).astype(object).where(~np.isnan(p), None).astype(float)
