@@ -71,6 +71,10 @@ MANIFEST = (
 )
 
 
+def _cast_to(kind: str):
+    return lambda x: x.try_cast(kind)
+
+
 def manifest(documents: DataFrame) -> DataFrame:
     """One row a product: mission and the fields of MANIFEST, arrays where there may be several, and `error` with the names of those missing."""
     rows = documents
@@ -83,7 +87,7 @@ def manifest(documents: DataFrame) -> DataFrame:
             columns.append(F.when(F.size(found) == 1, found[0].try_cast(kind)).alias(name))
         else:
             sound = F.size(found) > 0 if count is None else F.size(found) == count
-            columns.append(F.when(sound, F.transform(found, lambda x, kind=kind: x.try_cast(kind))).alias(name))
+            columns.append(F.when(sound, F.transform(found, _cast_to(kind))).alias(name))
     out = rows.select("path", *columns)
     names = ["mission", *(name for _, name, _, _ in MANIFEST)]
     missing = F.filter(F.array(*(F.when(F.col(n).isNull(), F.lit(n)) for n in names)), lambda x: x.isNotNull())
