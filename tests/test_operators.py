@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import alignment, lookup, proximity, raster, tiles, tracks, zones
+from tidemark.operators import alignment, lookup, products, proximity, raster, tiles, tracks, zones
 from tidemark.operators import detections as det
 from tidemark.plans import pipelines as pipe
 
@@ -351,3 +351,65 @@ def test_alignment(spark):
     assert shifts.count() == 4
     r = alignment.scene_shift(alignment.patch_shifts(df, "a", "b", 20, 10), 1).first()
     assert (r.shift_row, r.shift_col) == (pytest.approx(-2, abs=0.3), pytest.approx(1, abs=0.3))
+
+
+# ---- products
+
+
+def test_tie_points_there_and_back(spark):
+    nodes = [(1, r, c, 35 - 0.001 * r - 0.0003 * c + 1e-8 * r * c, 129 + 0.001 * c + 0.0002 * r) for r in (0, 30, 70) for c in (0, 25, 60, 90)]
+    grid_ = spark.createDataFrame(nodes, "scene_id long, node_row int, node_col int, lat double, lon double")
+    at = [(1, k, r, c) for k, (r, c) in enumerate([(0, 0), (70, 90), (12, 33), (45, 60), (30, 25), (69, 1)])]
+    points_ = spark.createDataFrame(at, "scene_id long, id long, row int, col int")
+    there = products.on_grid(points_, grid_, ["lat", "lon"])
+    back_ = {x.id: (x.row, x.col) for x in products.index_of(there, grid_).collect()}
+    assert all(back_[k] == pytest.approx((r, c), abs=1e-5) for _, k, r, c in at)
+    far = spark.createDataFrame([(1, 9, 50.0, 50.0), (2, 8, 35.0, 129.0)], "scene_id long, id long, lat double, lon double")
+    assert all(x.row is None for x in products.index_of(far, grid_).collect())
+    outside = spark.createDataFrame([(1, 1, 71, 0)], "scene_id long, id long, row int, col int")
+    assert products.on_grid(outside, grid_, ["lat"]).first().lat is None
+    sizes = spark.createDataFrame([(1, 70, 90)], "scene_id long, ysize int, xsize int")
+    mid = there.where("id = 2").first()
+    w = products.window_around(sizes, grid_, mid.lat, mid.lon, 40, 20).first()
+    assert (w.row0, w.row1, w.col0, w.col1) == (0, 32, 23, 43)
+
+
+def test_nodes_of_an_image(spark):
+    nodes = spark.createDataFrame([(1, r, c) for r in (0, 10, 20, 30, 40) for c in (0, 10, 20)], "scene_id long, node_row int, node_col int")
+    kept = products.cropped_nodes(nodes, 25, 15).collect()
+    assert sorted({x.node_row for x in kept}) == [0, 10, 20, 30] and sorted({x.node_col for x in kept}) == [0, 10, 20]
+
+
+def test_padded_inference(spark):
+    a = np.arange(30.0).reshape(5, 6)
+    px = grid(spark, a).withColumnRenamed("v", "b1").withColumn("b2", F.lit(60.0))
+    shapes_ = set()
+
+    def model(x):
+        shapes_.add(x.shape)
+        return x[0] + x[1]
+
+    got = back(products.spills(px, lambda x: x[0] + x[1], 4), (5, 6), "output")
+    want = np.minimum(a, 0.1) / 0.1 + 1
+    want[0, 0] = 0
+    assert np.allclose(got, want) and model(np.zeros((2, 4, 4))).shape == (4, 4)
+
+
+def test_coregistration(spark):
+    from tidemark.functions import kernels
+
+    rng = np.random.default_rng(8)
+    a = kernels.gaussian(rng.random((80, 80)), 0.7) * 100
+    b = kernels.moved(np.pad(a, 10, mode="wrap"), 1.4, -2.3)[10:-10, 10:-10]
+    out = products.coregistered(grid(spark, a), grid(spark, b), "v", patch=40, degree=1, tile=48)
+    moved = back(out, a.shape, "out")
+    inner = (slice(8, -8), slice(8, -8))
+    assert np.corrcoef(moved[inner].ravel(), a[inner].ravel())[0, 1] > 0.97 > np.corrcoef(b[inner].ravel(), a[inner].ravel())[0, 1] + 0.5
+    r = out.where("shift_row is not null").first()
+    assert (r.shift_row, r.shift_col) == (pytest.approx(1.4, abs=0.2), pytest.approx(-2.3, abs=0.2))
+
+
+def test_saved_products(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    products.save(str(tmp_path), bands=df, grid=df)
+    assert products.load(spark, str(tmp_path), "bands", "grid")["grid"].first().b == 2

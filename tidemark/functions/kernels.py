@@ -107,25 +107,42 @@ def phase_shift(a: np.ndarray, b: np.ndarray, upsample: int = 100) -> tuple[floa
     return tuple(float(0.0 if s == 1 else p) for p, s in zip(peak, size, strict=True))
 
 
+def _spline(a: np.ndarray) -> np.ndarray:
+    """Coefficients, down the columns, of the cubic B-spline through the values, mirrored at both ends."""
+    n = len(a)
+    above = np.full(n, 1 / 6)  # the tridiagonal system, solved by elimination
+    above[0] = 2 / 6
+    below = np.full(n, 1 / 6)
+    below[-1] = 2 / 6
+    out, factor = np.array(a, float), np.empty(n)
+    factor[0], out[0] = above[0] / (4 / 6), out[0] / (4 / 6)
+    for k in range(1, n):
+        pivot = 4 / 6 - below[k] * factor[k - 1]
+        factor[k] = above[k] / pivot
+        out[k] = (out[k] - below[k] * out[k - 1]) / pivot
+    for k in range(n - 2, -1, -1):
+        out[k] -= factor[k] * out[k + 1]
+    return out
+
+
+def _sampled(a: np.ndarray, by: float) -> np.ndarray:
+    """Values down the columns at places shifted by `by`; 0 outside."""
+    n = len(a)
+    if n == 1:
+        return a * float(by == 0)
+    at = np.arange(n) + by
+    inside = (at >= 0) & (at <= n - 1)
+    low = np.floor(at).astype(int)
+    t = (at - low)[:, None]
+    c, out = _spline(a), np.zeros(a.shape)
+    for k, w in enumerate(((1 - t) ** 3 / 6, 2 / 3 - t**2 + t**3 / 2, 2 / 3 - (1 - t) ** 2 + (1 - t) ** 3 / 2, t**3 / 6)):
+        where = np.abs(low - 1 + k)
+        where = np.clip(np.where(where > n - 1, 2 * (n - 1) - where, where), 0, n - 1)
+        out += w * c[where]
+    return np.where(inside[:, None], out, 0.0)
+
+
 def moved(a: np.ndarray, rows: float, cols: float) -> np.ndarray:
     """The array sampled at places shifted by (rows, cols), by the cubic spline through its values; 0 outside."""
     a = np.nan_to_num(np.asarray(a, float))
-
-    def axis(n: int, by: float) -> np.ndarray:
-        if n == 1:
-            return np.ones((1, 1)) * (by == 0)
-        spline = np.diag(np.full(n, 4 / 6)) + np.diag(np.full(n - 1, 1 / 6), 1) + np.diag(np.full(n - 1, 1 / 6), -1)
-        spline[0, 1] = spline[-1, -2] = 2 / 6  # mirrored at the ends
-        at = np.arange(n) + by
-        inside = np.flatnonzero((at >= 0) & (at <= n - 1))
-        low = np.floor(at[inside]).astype(int)
-        t = at[inside] - low
-        weights = ((1 - t) ** 3 / 6, 2 / 3 - t**2 + t**3 / 2, 2 / 3 - (1 - t) ** 2 + (1 - t) ** 3 / 2, t**3 / 6)
-        m = np.zeros((n, n))
-        for k, w in enumerate(weights):
-            where = np.abs(low - 1 + k)
-            where = np.where(where > n - 1, 2 * (n - 1) - where, where)
-            np.add.at(m, (inside, where), w)
-        return m @ np.linalg.inv(spline)
-
-    return axis(a.shape[0], rows) @ a @ axis(a.shape[1], cols).T
+    return _sampled(_sampled(a, rows).T, cols).T

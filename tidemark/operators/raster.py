@@ -200,26 +200,10 @@ def calibrated(pixels: DataFrame, vectors: DataFrame, value: str) -> DataFrame:
 
     Pixels outside the grid of nodes get NULL.
     """
-    axis = lambda c: vectors.groupBy("scene_id").agg(F.array_sort(F.collect_set(c)).alias("nodes"))  # noqa: E731 one scene's axis: some hundred nodes
-    grid = axis("node_row").withColumnRenamed("nodes", "rows").join(axis("node_col").withColumnRenamed("nodes", "cols"), "scene_id")
-
-    def bracket(nodes: Column, at: Column) -> tuple[Column, Column]:
-        # the first of equals below, and the next one
-        low = F.array_max(F.filter(nodes, lambda n: n <= at))
-        high = F.array_min(F.filter(nodes, lambda n: n > at))
-        return low, F.coalesce(high, F.when(low == at, low))
-
-    rows = pixels.join(grid, "scene_id")
-    r0, r1 = bracket(F.col("rows"), F.col("row"))
-    c0, c1 = bracket(F.col("cols"), F.col("col"))
-    rows = rows.withColumns({"r0": r0, "r1": r1, "c0": c0, "c1": c1}).drop("rows", "cols")
-    for name, (a, b) in {"f00": ("r0", "c0"), "f01": ("r0", "c1"), "f10": ("r1", "c0"), "f11": ("r1", "c1")}.items():
-        rows = rows.join(vectors.select("scene_id", F.col("node_row").alias(a), F.col("node_col").alias(b), F.col("factor").alias(name)), ["scene_id", a, b], "left")
-    t = F.coalesce(F.try_divide(F.col("row") - F.col("r0"), F.col("r1") - F.col("r0")), F.lit(0.0))
-    u = F.coalesce(F.try_divide(F.col("col") - F.col("c0"), F.col("c1") - F.col("c0")), F.lit(0.0))
-    factor = (F.col("f00") * (1 - u) + F.col("f01") * u) * (1 - t) + (F.col("f10") * (1 - u) + F.col("f11") * u) * t
-    ratio = F.col(value) / factor
-    return rows.withColumn("sigma", ratio * ratio).drop("r0", "r1", "c0", "c1", "f00", "f01", "f10", "f11")
+    from .products import on_grid
+
+    ratio = F.col(value) / F.col("factor")
+    return on_grid(pixels, vectors, ["factor"]).withColumn("sigma", ratio * ratio).drop("factor")
 
 
 def sliced(pixels: DataFrame, rows: tuple[int, int, int], cols: tuple[int, int, int]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import boxes as bx
 from ..functions import geo, kernels, statistics, strings
 from ..functions import radiometry as rad
-from ..operators import alignment, lookup, proximity, raster, tiles, tracks
+from ..operators import alignment, lookup, products, proximity, raster, tiles, tracks
 from ..operators import detections as det
 from ..operators import zones as zone_ops
 from . import adapters as a
@@ -404,6 +404,56 @@ def dem_resample(spark, d):
     return raster.resampled(scenes, grid).select(n("row").alias("row"), n("col").alias("col"), "value", n("water").alias("water"))
 
 
+@query(with_tables("scene edges", """-- more
+p AS (SELECT r AS row, c AS col, min_lon + (c + 0.5) * 0.01::DOUBLE AS x, max_lat - (r + 0.5) * 0.01::DOUBLE AS y FROM scene, range(50) a(r), range(50) b(c)),
+h AS (SELECT row, col, zone FROM p JOIN edges ON (ay > y) <> (b_y > y) AND x < (bx - ax) * (y - ay) / (b_y - ay) + ax GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)
+SELECT row, col, (CASE WHEN EXISTS (SELECT 1 FROM h WHERE h.row = p.row AND h.col = p.col) THEN 1 ELSE 0 END)::BIGINT AS land FROM p"""))
+def land_mask(spark, d):
+    scenes = a.scene(spark).select("scene_id", F.lit(50).alias("height"), F.lit(50).alias("width"), "min_lon", F.lit(0.01).alias("dlon"), "max_lat", F.lit(-0.01).alias("dlat"))
+    return products.burnt(scenes, a.zones(spark, d)).select(n("row").alias("row"), n("col").alias("col"), n("land").alias("land"))
+
+
+@query(with_tables("pixels", """SELECT scene_id, row, col, round(CASE WHEN vv = 0 THEN 0 ELSE 2 * least(vv, 0.1::DOUBLE) / 0.1::DOUBLE + b5 / 60 END, 6) AS output FROM pixels"""))
+def spill_pixels(spark, d):
+    rows = a.pixels(spark, d).select("scene_id", "row", "col", F.col("vv").alias("b1"), F.col("b5").alias("b2"))
+    return products.spills(rows, lambda x: 2 * x[0] + x[1], 64).select("scene_id", "row", "col", r(F.col("output"), 6).alias("output"))
+
+
+@query(with_tables("scene", "SELECT round(126.0::DOUBLE - 0.5::DOUBLE / 50, 8) AS x0, round(0.5::DOUBLE / 50, 8) AS dx, round(34.5::DOUBLE + 0.5::DOUBLE / 40 / 2, 8) AS y0, round(-(0.5::DOUBLE / 40), 8) AS dy, 96::BIGINT AS multiple, round((1 - cos(25 * pi() / 100)) / 2 * 0.9::DOUBLE + 0.1::DOUBLE, 8) AS ramp FROM scene"))
+def quickview_transform(spark, d):
+    t = products.transform_of((F.col("min_lon"), F.col("min_lat"), F.col("max_lon"), F.col("max_lat")), F.lit(40), F.lit(50))
+    return a.scene(spark).select(r(t[0], 8).alias("x0"), r(t[1], 8).alias("dx"), r(t[3], 8).alias("y0"), r(t[5], 8).alias("dy"), products.divisible(F.lit(70), 32).alias("multiple"), r(products.cosine_ramp(F.lit(25), 100, 0.1, 1.0), 8).alias("ramp"))
+
+
+@query()
+def image_index(spark, d):
+    nodes = spark.range(72).select(F.lit(0).cast("long").alias("scene_id"), (F.floor(F.col("id") / 9) * 50).alias("node_row"), (F.col("id") % 9 * 60).alias("node_col"))
+    nodes = nodes.withColumns({"lat": 34.5 - F.col("node_row") * 0.001 - F.col("node_col") * 0.0001, "lon": 126.0 + F.col("node_col") * 0.001 + F.col("node_row") * 0.0002})
+    points = a.ships(spark, d).select(F.lit(0).cast("long").alias("scene_id"), "id", F.col("Lat").alias("lat"), F.col("Lon").alias("lon"))
+    return products.index_of(points, nodes)
+
+
+@query()
+def coregister(spark, d):
+    rows = a.dense(spark, d)
+    first, second = (rows.select("scene_id", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col(c).alias("v")) for c in ("first", "second"))
+    return products.coregistered(first, second, "v", patch=32, degree=1, tile=128)
+
+
+@query("""SELECT epoch(time_bucket(INTERVAL 1 DAY, ts))::BIGINT AS start_s, (user_id % 10)::BIGINT AS mmsi, count(*) AS n, round(avg((event_id * 7 % 30)::DOUBLE), 6) AS mean_sog FROM events GROUP BY 1, 2""")
+def stream_activity(spark, d):
+    """The streaming aggregation run over files to their end."""
+    from ..shared import folder
+    from ..streaming import tracks as live
+
+    schema = a.table(spark, d, "events").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    stream = live.reports(spark, f"{d}/events*.parquet", schema).withColumns({"ts": F.col("ts").cast("timestamp"), "mmsi": F.col("user_id") % 10, "sog": (F.col("event_id") * 7 % 30).cast("double")})
+    name = f"activity_{abs(hash(d)) % 10**9}_{int(math.floor(1e6 * __import__('time').time()))}"
+    q = live.activity(stream, window="1 day").writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{folder(spark)}/streams/{name}").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name).select(n(F.col("start").cast("double")).alias("start_s"), n("mmsi").alias("mmsi"), "n", r(F.col("mean_sog"), 6).alias("mean_sog"))
+
+
 # ---- tiles
 
 
