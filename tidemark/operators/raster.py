@@ -82,15 +82,24 @@ def resampled(scenes: DataFrame, elevation: DataFrame) -> DataFrame:
 
 
 def gaps_filled(pixels: DataFrame, value: str, width: str = "width") -> DataFrame:
-    """pixels with missing values filled along the scene read row by row: linear between the known neighbours, held constant at the ends."""
+    """pixels with missing values filled along the scene read row by row: linear between the known neighbours, held constant at the ends.
+
+    Neighbours are found within each row by running windows (both ways, so that no frame is read again), and across rows
+    from one summary a row; a scene is never one partition.
+    """
     at = F.col("row").cast("long") * F.col(width) + F.col("col")
     rows = pixels.withColumn("_at", at).withColumn("_v", rad.known(F.col(value)))
-    mark = F.when(F.col("_v").isNotNull(), F.struct(F.col("_at").alias("at"), F.col("_v").alias("v")))
-    w = Window.partitionBy("scene_id").orderBy("_at")
-    rows = rows.withColumn("_p", F.last(mark, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_f", F.first(mark, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    p, f = F.col("_p"), F.col("_f")
+    rows = rows.withColumn("_m", F.when(F.col("_v").isNotNull(), F.struct(F.col("_at").alias("at"), F.col("_v").alias("v"))))
+    ends = rows.groupBy("scene_id", "row").agg(F.min("_m").alias("first"), F.max("_m").alias("last"))
+    above = Window.partitionBy("scene_id").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.partitionBy("scene_id").orderBy(F.col("row").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("scene_id", "row", F.last("last", ignorenulls=True).over(above).alias("_above"), F.last("first", ignorenulls=True).over(below).alias("_below"))
+    run = lambda order: F.last("_m", ignorenulls=True).over(Window.partitionBy("scene_id", "row").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"_p": run(F.col("_at")), "_f": run(F.col("_at").desc())}).join(ends, ["scene_id", "row"])
+    p, f = F.coalesce("_p", "_above"), F.coalesce("_f", "_below")
     between = p["v"] + (f["v"] - p["v"]) * (F.col("_at") - p["at"]) / (f["at"] - p["at"])
-    return rows.withColumn(value, F.coalesce(F.col("_v"), F.when(p.isNotNull() & f.isNotNull(), between), p["v"], f["v"])).drop("_at", "_v", "_p", "_f")
+    filled = F.coalesce(F.col("_v"), F.when(p.isNotNull() & f.isNotNull(), between), p["v"], f["v"])
+    return rows.withColumn(value, filled).select(*pixels.columns)
 
 
 def boxcar_inside(pixels: DataFrame, value: str, k: int) -> DataFrame:
