@@ -38,17 +38,29 @@ def folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """The rows as a Parquet table in the shared folder: what follows doesn't depend on executors that made them."""
     spark = df.sparkSession
-    at = f"{folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    at = f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
     out = spark.read.schema(df.schema).parquet(at)
     out._written_at = at
     return out
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{folder(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def _removed(spark: SparkSession, at: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Removes the files of a table that written() made, once nothing reads it any more."""
     at = getattr(df, "_written_at", None)
     if at:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _removed(df.sparkSession, at)
+
+
+def cleared(spark: SparkSession) -> None:
+    """Removes all tables that this application has written to the shared folder; results read from them must have been used before."""
+    _removed(spark, _own(spark))
