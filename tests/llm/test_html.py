@@ -15,6 +15,7 @@ PAGES = {
     f"<header><p>{P2}</p></header><div><p>{P1}</p><p>{P2}</p>{MENU}</div>": [P1, P2],
     f"<body><div role='alert'>We use cookies, yes.</div><div class='cookie-notice'><p>{P2}</p></div><div class='post'><h2>Head</h2><p>{P1}</p><blockquote>{P2}</blockquote></div><div style='display:none'><p>{P2}</p></div>": ["Head", P1, P2],
     f"<article><p><b>{P1}<br><p>{P2}</b></p></article><footer>x</footer>": [P1, P2],
+    f"<div class='page-header header'><p>{P2}</p></div><div class=post><div class='post-header'><h1 class='header'>Head</h1></div><p>{P1}</p><p>{P2}</p></div>": ["Head", P1, P2],
     "<p>Just one.": ["Just one."],
     "plain text only": ["plain text only"],
     "<p title='a>b'>q</p><a <b>": ["q"],

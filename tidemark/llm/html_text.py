@@ -64,8 +64,10 @@ def _marks(tag: str, more: str) -> tuple[bool, bool]:
             unlikely = True
         elif name in ("class", "id", "role", "itemprop"):
             words = {w.lower() for w in _WORD.findall(value)}
-            unlikely |= not _UNLIKELY.isdisjoint(words)
             likely |= not _LIKELY.isdisjoint(words)
+            if tag in _HEADING or tag != "header" and not _LIKELY.isdisjoint(words):
+                words.discard("header")  # of an article, not of the page
+            unlikely |= not _UNLIKELY.isdisjoint(words)
     return unlikely and tag not in ("html", "body", "article", "main"), likely
 
 
