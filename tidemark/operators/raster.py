@@ -133,6 +133,24 @@ def by_tile(pixels: DataFrame, value: str, kernel: Callable[[np.ndarray], np.nda
     return dealt.groupBy("scene_id", "tr", "tc").applyInPandas(run, f"scene_id {kind['scene_id']}, row {kind['row']}, col {kind['col']}, {out} double")
 
 
+def _labelled(r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """For each of the pixels (sorted by row and column), the first one of its 8-connected component: hooking and pointer jumping."""
+    at = np.full((int(r.max()) + 2, int(c.max()) + 3), -1)
+    at[r, c + 1] = np.arange(len(r))
+    pairs = [(at[:, :-1], at[:, 1:]), (at[:-1], at[1:]), (at[:-1, :-1], at[1:, 1:]), (at[:-1, 1:], at[1:, :-1])]
+    u, v = (np.concatenate([p[k][(p[0] >= 0) & (p[1] >= 0)] for p in pairs]) for k in (0, 1))
+    label = np.arange(len(r))
+    while True:
+        a, b = label[u], label[v]
+        apart = a != b
+        if not apart.any():
+            return label
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(further := label[label], label):
+            label = further
+
+
 def components(flags: DataFrame, tile: int = 512) -> DataFrame:
     """(scene_id, row, col, blob): 8-connected components of the pixels (scene_id, row, col) given; blob is the smallest (row, col) number in it.
 
@@ -143,27 +161,10 @@ def components(flags: DataFrame, tile: int = 512) -> DataFrame:
     placed = flags.select("scene_id", "row", "col", F.floor(F.col("row") / tile).alias("tr"), F.floor(F.col("col") / tile).alias("tc"))
 
     def label(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["row", "col"], kind="stable")
         r, c = pdf.row.to_numpy(np.int64), pdf.col.to_numpy(np.int64)
-        at = {(a, b): k for k, (a, b) in enumerate(zip(r.tolist(), c.tolist(), strict=True))}
-        parent = list(range(len(r)))
-
-        def find(k: int) -> int:
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        for (a, b), k in at.items():
-            for step in ((-1, -1), (-1, 0), (-1, 1), (0, -1)):
-                j = at.get((a + step[0], b + step[1]))
-                if j is not None:
-                    x, y = find(j), find(k)
-                    if x != y:
-                        parent[max(x, y)] = min(x, y)
-        number = (r << 32) + c
-        roots = np.array([find(k) for k in range(len(r))])
-        least = pd.Series(number).groupby(roots).transform("min").to_numpy()
-        return pd.DataFrame({"scene_id": pdf.scene_id, "row": pdf.row, "col": pdf.col, "blob": least})
+        least = _labelled(r - r.min(), c - c.min())
+        return pd.DataFrame({"scene_id": pdf.scene_id, "row": pdf.row, "col": pdf.col, "blob": ((r << 32) + c)[least]})
 
     local = written(placed.groupBy("scene_id", "tr", "tc").applyInPandas(label, f"scene_id {kind['scene_id']}, row {kind['row']}, col {kind['col']}, blob long"), "blobs")
     edge = local.where((F.col("row") % tile).isin(0, tile - 1) | (F.col("col") % tile).isin(0, tile - 1))
