@@ -127,6 +127,11 @@ def test_f_quantile():
     assert statistics.f_quantile(0.0, 2, 2) == 0 and math.isnan(statistics.f_quantile(0.5, -1, 2))
 
 
+def test_f_quantile_column(spark):
+    df = spark.createDataFrame([(4.0, 10.0), (-1.0, 2.0), (None, 2.0)], "a double, b double")
+    assert [r.q for r in df.select(statistics.f_quantiles(0.95, F.col("a"), F.col("b")).alias("q")).collect()] == [pytest.approx(3.47805, abs=1e-5), None, None]
+
+
 def test_chi2_column(spark):
     df = spark.createDataFrame([(2.0,), (-1.0,), (None,)], "x double")
     assert [r.p for r in df.select(statistics.chi2_cdf(F.col("x"), 2.0).alias("p")).collect()] == [pytest.approx(1 - math.exp(-1)), None, None]

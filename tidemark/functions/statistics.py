@@ -103,3 +103,14 @@ def f_quantile(q: float, d1: float, d2: float) -> float:
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if f_cdf(mid, d1, d2) < q else (lo, mid)
     return (lo + hi) / 2
+
+
+def f_quantiles(q: float, d1: Column, d2: Column) -> Column:
+    """f_quantile() of columns of degrees of freedom; NULL where they are out of range.  For a value a scene, not a pixel."""
+
+    @F.pandas_udf(T.DoubleType())
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([f_quantile(q, x, y) for x, y in zip(a.fillna(-1), b.fillna(-1), strict=True)], dtype=float)
+
+    out = run(d1, d2)
+    return F.when(~F.isnan(out), out)

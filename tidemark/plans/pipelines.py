@@ -64,11 +64,8 @@ def change_mask(pixels: DataFrame, change: config.Change = config.DEFAULTS.chang
     flag: p under the threshold that the mean band ratio gives; written_mask is 0 on flagged blobs of the least size and 1
     elsewhere, as the product has it.  A missing pixel has no statistic and no flag.
     """
-    ratios = raster.ratio_mean(pixels, "vv", "vv2")
-    # one number a scene; the quantile of each is solved for on the driver, scene by scene
-    levels = [(r["scene_id"], statistics.f_quantile(change.quantile, r["mean"] * change.looks**2 * 20, r["mean"] * change.looks**2 * 4) / change.quantile_div) for r in ratios.where("mean > 0").toLocalIterator()]
-    kind = dict(pixels.dtypes)["scene_id"]
-    threshold = pixels.sparkSession.createDataFrame(levels, f"scene_id {kind}, threshold double")
+    freedom = F.col("mean") * change.looks**2
+    threshold = raster.ratio_mean(pixels, "vv", "vv2").select("scene_id", (statistics.f_quantiles(change.quantile, freedom * 20, freedom * 4) / change.quantile_div).alias("threshold"))
     value = rad.log_ratio((F.col("vh"), F.col("vv")), (F.col("vh2"), F.col("vv2")))
     scored = pixels.select("scene_id", "row", "col", value.alias("statistic"))
     scored = scored.withColumn("p", statistics.chi2_cdf(F.col("statistic"), change.df)).join(threshold, "scene_id", "left")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config
+from ..operators.tracks import in_scene
 
 LATE = "10 minutes"
 
@@ -32,10 +33,9 @@ def activity(stream: DataFrame, at: str = "ts", window: str = "10 minutes", slid
 
 
 def in_scenes(stream: DataFrame, scenes: DataFrame, margin_s: float = config.TIME_MARGIN_S) -> DataFrame:
-    """Stream-static join: reports with the scenes whose time span (and margin) and bounds hold them."""
-    epoch = F.col("ts").cast("timestamp").cast("double")
-    kept = epoch.between(F.col("start_s") - margin_s, F.col("end_s") + margin_s) & F.col("lon").between(F.col("min_lon"), F.col("max_lon")) & F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
-    return stream.join(scenes, kept).withColumn("epoch", epoch)
+    """Stream-static join, by time bucket: reports with the scenes whose time span (and margin) and bounds hold them."""
+    placed = stream.withColumn("epoch", F.col("ts").cast("timestamp").cast("double"))
+    return in_scene(placed, scenes, margin_s, zero_is_missing=False)
 
 
 def middle_reports(rows: DataFrame, late: str = LATE) -> DataFrame:
