@@ -37,4 +37,42 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_spread": OP2_SQL, "op3_reply_trees": _OP3_SQL}
+_OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[k:k + 12], ' ') AS win FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM bw))
+), hits AS (
+  SELECT doc_id, n, k, item_id FROM dw JOIN bw USING (n, win)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM (SELECT DISTINCT doc_id, n, k FROM hits)) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS listed FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), runs AS (
+  SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13)
+), first AS (
+  SELECT run, min(doc_id) AS f FROM runs GROUP BY 1
+), repeated AS (
+  SELECT DISTINCT doc_id, unnest(range(k, k + 13)) AS k FROM runs JOIN first USING (run) WHERE doc_id > f
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d
+), kept AS (
+  SELECT words.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS text FROM words ANTI JOIN repeated USING (doc_id, k) GROUP BY 1
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_spread": OP2_SQL, "op3_reply_trees": _OP3_SQL, "op6_wu_manber": _OP6_SQL, "op8_seed_extend": _OP8_SQL}
