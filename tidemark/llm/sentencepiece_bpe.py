@@ -24,7 +24,7 @@ from . import textbuf as tb
 MARK = "▁"
 NEVER = np.int32(2**31 - 1)
 #: Distinct units that a worker remembers before it starts over.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def default_model() -> str:
@@ -238,7 +238,7 @@ class Encoder:
     def __init__(self, v: Vocabulary):
         self.v = v
         self.known: dict[int, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.ids: list[bytes] = []  # 32-bit ids: a small array object would weigh more than its ids
         self.named: list[bytes] = []
         self.plain: list[bytes] = []
         self.numbers = [str(i) for i in range(v.size)]
@@ -272,24 +272,24 @@ class Encoder:
             ids, o = encode_ranges(self.v, buf, starts[example[new]], ends[example[new]])
             number[new] = np.arange(len(new)) + len(self.ids)
             self.known.update(zip(distinct[new].tolist(), number[new].tolist(), strict=True))
-            words = [self.numbers[i] for i in ids.tolist()]
+            words, raw_ids = [self.numbers[i] for i in ids.tolist()], ids.astype(np.int32).tobytes()
             for f, t in zip(o[:-1].tolist(), o[1:].tolist(), strict=True):
-                self.ids.append(ids[f:t])
+                self.ids.append(raw_ids[4 * f : 4 * t])
                 self.named.append(" ".join(words[f:t]).encode())
         return number[which], np.searchsorted(starts, np.append(at, len(buf)))
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text, the end id last."""
         units, first = self.units(column)
-        end = np.array([self.v.end], np.int64)
-        return [np.concatenate([*(self.ids[u] for u in units[f:t].tolist()), end]) for f, t in zip(first[:-1], first[1:], strict=True)]
+        end, own = np.array([self.v.end], np.int32).tobytes(), self.ids.__getitem__
+        return [np.frombuffer(b"".join([*map(own, units[f:t].tolist()), end]), np.int32) for f, t in zip(first[:-1], first[1:], strict=True)]
 
     def digests(self, column: pa.Array) -> tuple[list[int], list[str], list[str]]:
         """(number of ids, SHA-256 of the ids in decimal, SHA-256 of the decoded text) of each text."""
         units, first = self.units(column)
-        size = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
+        size = np.fromiter(map(len, self.ids), np.int64, len(self.ids)) // 4
         while len(self.plain) < len(self.ids):  # decoded pieces without the text's first space taken away
-            ids = self.ids[len(self.plain)]
+            ids = np.frombuffer(self.ids[len(self.plain)], np.int32)
             self.plain.append(b"".join(map(self.v.bytes.__getitem__, ids.tolist())))
         total = np.concatenate([[0], np.cumsum(size[units])])
         end, named, plain = [str(self.v.end).encode()], self.named.__getitem__, self.plain.__getitem__
@@ -322,7 +322,7 @@ def encoded(docs: DataFrame, model: str | None = None, digest: bool = False) ->
                     ids = encoder.encode(part.column("text"))
                     text = [decode_ids(encoder.v, x).decode() for x in ids]
                     off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                    flat = pa.array(np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int32))
+                    flat = pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]))
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.ListArray.from_arrays(pa.array(off), flat), pa.array(text, pa.string())], ["doc_id", "n_tokens", "ids", "text"])
 
     kind = "string" if digest else "array<int>"
