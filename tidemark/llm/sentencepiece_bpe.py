@@ -4,13 +4,14 @@ No piece of the vocabulary has a word start mark after another character, so a t
 (a run of marks and what follows it) that no merge crosses.  The distinct units of some MB of text are encoded side
 by side: flat symbol arrays, each round finds the smallest pair rank of every unit (segmented minimum), merges its
 leftmost occurrences at once, and compacts the arrays; units without a pair leave.  Merging several places of a unit at once
-equals merging them one by one unless a new pair ranks before the one just merged; such units
-are done again one merge a round.
+equals merging them one by one unless a new pair ranks before the one just merged, or with it; such units
+(long runs of spaces, above all) are done again from a heap.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -131,7 +132,7 @@ def _merge(v: Vocabulary, sym: np.ndarray, unit: np.ndarray, n_units: int, singl
         least = np.minimum.reduceat(rank, begin)
         owner = unit[begin]
         length = np.diff(np.append(begin, len(sym)))
-        wrong = least < before[owner]
+        wrong = least <= before[owner]
         again.append(owner[wrong])
         out = np.repeat((least == NEVER) & ~wrong, length)
         done_sym.append(sym[out])
@@ -148,11 +149,10 @@ def _merge(v: Vocabulary, sym: np.ndarray, unit: np.ndarray, n_units: int, singl
         if single:
             spot = spot[first]
         else:
-            near = np.zeros(len(spot), bool)  # touches the winner before it: then only the unit's leftmost one now
-            near[1:] = spot[1:] == spot[:-1] + 1
-            crowded = np.zeros(n_units, bool)
-            crowded[unit[spot[near]]] = True
-            spot = spot[first | ~crowded[unit[spot]]]
+            fresh = np.ones(len(spot), bool)  # of winners that touch each other, every second one
+            fresh[1:] = spot[1:] != spot[:-1] + 1
+            k = np.arange(len(spot))
+            spot = spot[(k - np.maximum.accumulate(np.where(fresh, k, 0))) % 2 == 0]
         before[unit[spot]] = -1
         many = np.flatnonzero(unit[spot[1:]] == unit[spot[:-1]]) if len(spot) > 1 else spot[:0]
         before[unit[spot[many]]] = rank[spot[many]]
@@ -172,14 +172,44 @@ def _merge(v: Vocabulary, sym: np.ndarray, unit: np.ndarray, n_units: int, singl
     return np.concatenate([*done_sym, none]), np.concatenate([*done_unit, none]), np.concatenate([*again, none])
 
 
+def _one_by_one(v: Vocabulary, sym: list[int]) -> list[int]:
+    """The merges of one unit from a heap, the best rank and then the leftmost first."""
+    left, right = list(range(-1, len(sym) - 1)), [*range(1, len(sym)), -1]
+    heap: list[tuple[int, int, int, int, int]] = []
+
+    def push(i: int) -> None:
+        j = right[i] if i >= 0 else -1
+        if j >= 0:
+            rank, to = v.pair(np.array([sym[i]]), np.array([sym[j]]))
+            if rank[0] != NEVER:
+                heapq.heappush(heap, (int(rank[0]), i, sym[i], sym[j], int(to[0])))
+
+    ranks, to = v.pair(np.array(sym[:-1], np.int64), np.array(sym[1:], np.int64))
+    heap = [(int(r), i, sym[i], sym[i + 1], int(t)) for i, (r, t) in enumerate(zip(ranks.tolist(), to.tolist(), strict=True)) if r != NEVER]
+    heapq.heapify(heap)
+    while heap:
+        _, i, a, b, merged = heapq.heappop(heap)
+        j = right[i]
+        if sym[i] != a or j < 0 or sym[j] != b:
+            continue  # one of them has been merged since
+        sym[i], sym[j] = merged, -1
+        right[i] = right[j]
+        if right[j] >= 0:
+            left[right[j]] = i
+        push(left[i])
+        push(i)
+    return [x for x in sym if x >= 0]
+
+
 def encode_ranges(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of units given as byte ranges, a space standing for the word start mark."""
     sym, unit = _symbols(v, data, starts, ends)
     out, of, again = _merge(v, sym.copy(), unit.copy(), len(starts), False)
     if len(again):
-        redo = np.isin(unit, again)
-        more, more_of, _ = _merge(v, sym[redo], unit[redo], len(starts), True)
-        out, of = np.concatenate([out, more]), np.concatenate([of, more_of])
+        first = np.searchsorted(unit, np.stack([again, again + 1]))
+        more = [_one_by_one(v, sym[a:b].tolist()) for a, b in first.T.tolist()]
+        out = np.concatenate([out, *(np.array(m, np.int64) for m in more)])
+        of = np.concatenate([of, np.repeat(again, [len(m) for m in more])])
     by = np.argsort(of, kind="stable")
     out, of = out[by], of[by]
     lacking = out >= v.size
