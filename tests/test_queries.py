@@ -76,3 +76,21 @@ def test_imports_without_the_corpus_folder():
         for node in ast.walk(ast.parse(path.read_text())):
             names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
             assert not any("llm" in n or "corpus_pipeline" in n for n in names), path
+
+
+def test_calibrated_reaches_every_row_of_tall_scenes(spark, tmp_path):
+    keys = [(1 + k % 2, 128 * row + col, 5 + k, None if k == 7 else k % 50) for k, (row, col) in enumerate((row, col) for row in (0, 39, 119, 120, 121, 400, 1171) for col in (0, 31, 64, 127))]
+    rows = [(line, key, 1.0, 1.0, part, supp) for line, key, part, supp in keys]
+    spark.createDataFrame(rows, "l_linenumber int, l_orderkey long, l_quantity double, l_extendedprice double, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {(r.scene_id, r.row, r.col): r.sigma for r in catalogue.QUERIES["calibrated"](spark, str(tmp_path)).collect()}
+
+    def sigma(line, row, col, supp):
+        at = lambda i, j: 1 + (i * 7 + j * 3 + line) % 5 / 10
+        (i, t), (j, u) = divmod(row, 40), divmod(col, 32)
+        t, u = t / 40, u / 32
+        return ((supp % 50 + 1) / 100 / ((at(i, j) * (1 - u) + at(i, j + 1) * u) * (1 - t) + (at(i + 1, j) * (1 - u) + at(i + 1, j + 1) * u) * t)) ** 2
+
+    assert len(got) == len(keys)
+    for line, key, _, supp in keys:
+        value = got[line, key // 128, key % 128]
+        assert value is None if supp is None else abs(value - sigma(line, key // 128, key % 128, supp)) < 1e-6

@@ -382,9 +382,11 @@ f AS (SELECT p.*, a.factor AS f00, b.factor AS f01, c.factor AS f10, e.factor AS
 SELECT scene_id, row, col, round(pow(vv / ((f00 * (1 - u) + f01 * u) * (1 - t) + (f10 * (1 - u) + f11 * u) * t), 2), 6) AS sigma FROM f"""))
 def calibrated(spark, d):
     rows = a.pixels(spark, d)
-    nodes = rows.select("scene_id").distinct().select("scene_id", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i")).select("scene_id", "i", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("j"))
+    last = lambda c, step: F.floor(F.max(c) / step).cast("int") + 1  # noqa: E731  the nodes go on to the one past each scene's last pixel
+    ends = rows.groupBy("scene_id").agg(last("row", 40).alias("last_i"), last("col", 32).alias("last_j"))
+    nodes = ends.select("scene_id", "last_j", F.explode(F.sequence(F.lit(0), F.col("last_i"))).alias("i")).select("scene_id", "i", F.explode(F.sequence(F.lit(0), F.col("last_j"))).alias("j"))
     nodes = nodes.select("scene_id", n(F.col("i") * 40).alias("node_row"), n(F.col("j") * 32).alias("node_col"), (1 + (F.col("i") * 7 + F.col("j") * 3 + F.col("scene_id")) % 5 / 10).alias("factor"))
-    return raster.calibrated(rows.select("scene_id", "row", "col", "vv"), nodes, "vv").where("sigma is not null").select("scene_id", "row", "col", r(F.col("sigma"), 6).alias("sigma"))
+    return raster.calibrated(rows.select("scene_id", "row", "col", "vv"), nodes, "vv").select("scene_id", "row", "col", r(F.col("sigma"), 6).alias("sigma"))
 
 
 @query("SELECT s.k * 40 AS node FROM range(10) s(k) WHERE s.k * 40 - 40 < 200 AND s.k * 40 + 40 > 0")
