@@ -84,3 +84,13 @@ def test_query(spark, data):
         r = rows[int(i)]
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(found), bad)
         assert r.items_sha256 == hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+
+
+def test_rows_that_share_an_id_stay_rows_with_any_number_of_blocks(spark, edge):
+    items = [(k, " ".join(f"x{k}y{j}" for j in range(60))) for k in range(20)] + ITEMS
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()] + [(None, items[0][1]), (None, items[1][1]), (10, items[2][1]), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert wm._blocked(bench, wm.WINDOW, 0.02)[0] > 1
+    for block_mb in (32, 0.02):
+        assert got(wm.contamination(docs, bench, block_mb=block_mb)) == brute(rows, items)

@@ -211,8 +211,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     spans are occurrences as first word * 2**32 + words; items the item_ids with an occurrence; contaminated: some word is
     hit, and share * n_hit >= n_words.  A null or wordless text or item has no words; an item without an id is searched
-    for and not listed; items of one id are one item.  Rows that share a doc_id are judged one by one, but
-    as one document where the benchmark takes more than one block.  Other columns are ignored.
+    for and not listed; items of one id are one item.  Rows that share a doc_id are judged one by one.
+    Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks, block = _blocked(benchmark, window, block_mb)
@@ -226,6 +226,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
         return docs.mapInArrow(whole, _RESULT)
 
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    out = _merged(numbered, "_row", blocks, block, share).drop("_row")
+    dropped(numbered)
+    return out
+
+
+def _merged(numbered: DataFrame, row: str, blocks: int, block, share: int) -> DataFrame:
+    """The verdict on each row of numbered (row, doc_id, text) with its number `row`, by which the finds of all blocks meet."""
     found = []
     for b in range(blocks):
         patterns = block(b)
@@ -234,20 +242,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             for batch in batches:
                 for part in tb.slices(batch, "text"):
                     n, spans, items = _scan(part, patterns.value)
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "n_words", "spans", "items"])
+                    yield pa.RecordBatch.from_arrays([part.column(row), part.column("doc_id"), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.int64()))], [row, "doc_id", "n_words", "spans", "items"])
 
-        found.append(written(docs.mapInArrow(some, _FOUND), "found"))
+        found.append(written(numbered.mapInArrow(some, f"{row} long, {_FOUND}"), "found"))
         patterns.unpersist()
     every = found[0]
     for x in found[1:]:
         every = every.union(x)
-    merged = every.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = every.groupBy(row).agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
     def judge(batches):
         for x in batches:
-            yield _verdict(x.column("doc_id"), x.column("n_words").to_numpy(), [np.asarray(s.values.to_numpy(zero_copy_only=False), np.int64) for s in x.column("spans")], x.column("items").to_pylist(), share)
+            out = _verdict(x.column("doc_id"), x.column("n_words").to_numpy(), [np.asarray(s.values.to_numpy(zero_copy_only=False), np.int64) for s in x.column("spans")], x.column("items").to_pylist(), share)
+            yield pa.RecordBatch.from_arrays([x.column(row), *out.columns], [row, *out.schema.names])
 
-    out = written(merged.mapInArrow(judge, _RESULT), "verdicts")
+    out = written(merged.mapInArrow(judge, f"{row} long, {_RESULT}"), "verdicts")
     for x in found:
         dropped(x)
     return out
@@ -273,7 +282,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
         return docs.mapInArrow(run, docs.schema)
     row = tb.fresh("_row", docs.columns)
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    bad = contamination(numbered.select(F.col(row).alias("doc_id"), "text"), benchmark, window, share, block_mb).where("contaminated").select(F.col("doc_id").alias(row))
+    bad = _merged(numbered.select(row, F.col(row).alias("doc_id"), "text"), row, blocks, block, share).where("contaminated").select(row)
     return numbered.join(bad, row, "left_anti").select(docs.columns)
 
 
