@@ -98,10 +98,15 @@ def _check_digit(body: str) -> str:
     return str(-total % 10)
 
 
-def _card(text: str, key: bytes, back: bool) -> str | None:
+def _is_card(text: str) -> bool:
     d = _digits(text)
-    if not 13 <= len(d) <= 19 or d[0] == "0" or len(set(d)) == 1 or _check_digit(d[:-1]) != d[-1]:
+    return 13 <= len(d) <= 19 and d[0] != "0" and len(set(d)) > 1 and _check_digit(d[:-1]) == d[-1]
+
+
+def _card(text: str, key: bytes, back: bool) -> str | None:
+    if not _is_card(text):
         return None
+    d = _digits(text)
     # the first digit (the network) stays, the last follows from the others
     n = len(d) - 2
     x = permuted(int(d[1:-1]), 10**n, key, b"card" + d[0].encode() + bytes([n]), back)
@@ -113,21 +118,36 @@ def _mod97(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
-def _iban(text: str, key: bytes, back: bool) -> str | None:
+def _is_iban(text: str) -> bool:
     plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or _mod97(plain) != 1:
+    return 15 <= len(plain) <= 34 and _mod97(plain) == 1
+
+
+def _iban(text: str, key: bytes, back: bool) -> str | None:
+    if not _is_iban(text):
         return None
+    plain = text.replace(" ", "")
     body = _letters(plain[4:], key, b"iban" + plain[:2].encode(), back)
     check = 98 - _mod97(plain[:2] + "00" + body)
     it = iter(f"{plain[:2]}{check:02d}{body}")
     return "".join(c if c == " " else next(it) for c in text)
 
 
+def _assigned(d: str) -> bool:
+    return not (d[0] in "01" or d[3] in "01" or d[1:3] == "11")
+
+
 def _phone(text: str, key: bytes, back: bool) -> str | None:
     d = _digits(text)
     d = d[-10:]
-    if d[0] in "01" or d[3] in "01" or d[1:3] == "11":
-        return None
+    if not _assigned(d):
+        if text[0] not in "+(":
+            return None
+        # +1 or parentheses say what it is: all other numbers are permuted among themselves
+        other = permuted(int(d), 10**10, key, b"phone other", back)
+        while _assigned(f"{other:010d}"):
+            other = permuted(other, 10**10, key, b"phone other", back)
+        return _refilled(text, _digits(text)[:-10] + f"{other:010d}")
     area, exchange, line = int(d[:3]), int(d[3:6]), int(d[6:])
     codes = [a for a in range(200, 1000) if a % 100 != 11]
     x = permuted((codes.index(area) * 800 + exchange - 200) * 10_000 + line, len(codes) * 800 * 10_000, key, b"phone", back)
@@ -188,6 +208,15 @@ def _key(text: str, key: bytes, back: bool) -> str | None:
 
 
 _OF = {"card": _card, "iban": _iban, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date, "email": _email, "key": _key}
+#: Patterns that may take in groups after the value: (validation, what stands between groups).
+_RUNS = {"card": (_is_card, " -"), "iban": (_is_iban, " ")}
+
+
+def _end(kind: str, run: str) -> int:
+    """Where the value in a run of groups ends: the longest run of its first groups that validates, or 0."""
+    valid, between = _RUNS[kind]
+    ends = [len(run), *(k for k in range(len(run) - 1, 0, -1) if run[k] in between)]
+    return next((k for k in ends if valid(run[:k])), 0)
 
 
 class Pseudonyms:
@@ -197,8 +226,13 @@ class Pseudonyms:
         self.key, self.back = hmac.new(key, b"pseudonyms", "sha256").digest(), back
         self._of = lru_cache(maxsize=100_000)(self._value)
 
-    def _value(self, kind: str, text: str) -> str | None:
-        return _OF[kind](text, self.key, self.back)
+    def _value(self, kind: str, text: str) -> tuple[str, int] | None:
+        """The pseudonym of the value that text starts with, and the value's length."""
+        end = _end(kind, text) if kind in _RUNS else len(text)
+        new = _OF[kind](text[:end], self.key, self.back) if end else None
+        while new and end < len(text) and _end(kind, new + text[end:]) != end:  # walk on, or it would be read back with other groups
+            new = _OF[kind](new, self.key, self.back)
+        return (new, end) if new else None
 
     def replace(self, text: str) -> tuple[str, dict[str, int]]:
         """(the text with pseudonyms, how many values of each kind it had)."""
@@ -206,20 +240,22 @@ class Pseudonyms:
         if not _HINT.search(text):
             return text, found
 
-        def one(m: re.Match) -> str:
-            new = self._of(m.lastgroup, m[0])
-            if new is None:
-                return m[0]
-            found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
-            return new
-
-        return _PATTERN.sub(one, text), found
+        out, at = [], 0
+        while m := _PATTERN.search(text, at):
+            value = self._of(m.lastgroup, m[0])
+            new, size = value or (m[0], len(m[0]))
+            if value:
+                found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
+            out += text[at : m.start()], new
+            at = m.start() + size
+        return "".join(out) + text[at:], found
 
 
 def pseudonymised(docs: DataFrame, key: bytes = TRIAL_KEY, back: bool = False, digest: bool = False) -> DataFrame:
     """(doc_id, text, n_<kind> for each kind) for each row of docs.
 
-    Values that fail validation (check digits, ranges, calendar) stay.  A null text stays null and has no values.
+    Values that fail validation (check digits, ranges, calendar) stay; of a run of groups in the form of a card number or IBAN
+    the longest beginning that validates is the value; telephone numbers with +1 or parentheses may have any digits.  A null text stays null and has no values.
     With digest, text is its SHA-256 in hex (null: that of an empty text).  With back, pseudonyms are read back.
     """
 
