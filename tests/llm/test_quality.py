@@ -35,6 +35,16 @@ def test_counts_equal_brute_force(docs, texts, edge, spark, data):
             assert not (r.base_failed and r.kept)
 
 
+def test_lines_and_windows_of_long_words():
+    from tests.llm.test_textbuf import thue_morse
+
+    for n in (10, 11, 12):
+        x, y = thue_morse(n)
+        texts = [f"{x}\n{y}", f"{x}\n{x}", f"a b c d {x} a b c d {y}", f"a b c d {x} a b c d {x}"]
+        got = q.statistics(pa.array(texts))
+        assert [tuple(int(got[c][k]) for c in q.COUNTS) for k in range(4)] == [brute(t) for t in texts]
+
+
 def test_model_separates_held_out_labels(spark):
     at = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet").withColumnRenamed("quality", "good")

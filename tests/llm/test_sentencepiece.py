@@ -33,6 +33,19 @@ def test_equals_the_library(library, v):
     assert [sp.decode_ids(v, np.array(x)).decode() for x in want] == [library.decode(x) for x in want]
 
 
+def test_units_with_one_hash_stay_apart(library, v, monkeypatch):
+    from tests.llm.test_textbuf import thue_morse
+
+    texts = [t for n in (10, 11, 12) for t in thue_morse(n)] + ["one two one", "two one two"]
+    want = [[*library.encode(t), 2] for t in texts]
+    assert [x.tolist() for x in sp.Encoder(v).encode(pa.array(texts))] == want
+    monkeypatch.setattr(sp.tb, "xxh64", lambda data, starts, ends: (ends - starts).astype(np.uint64) % 2)
+    encoder = sp.Encoder(v)
+    for t, w in zip(texts, want, strict=True):  # from one text to the next too
+        assert encoder.encode(pa.array([t]))[0].tolist() == w
+    assert [x.tolist() for x in sp.Encoder(v).encode(pa.array(texts))] == want
+
+
 def test_decoding_of_any_ids(library, v):
     rng = random.Random(2)
     for _ in range(4000):

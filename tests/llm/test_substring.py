@@ -54,6 +54,16 @@ def test_small_vocabulary_and_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_long_words_that_differ(spark):
+    from tests.llm.test_textbuf import thue_morse
+
+    head = " ".join(f"w{k}" for k in range(12))
+    rows = [(k, f"{head} {w}") for k, w in enumerate(w for n in (10, 11, 12) for w in thue_morse(n))]
+    rows += [(10, rows[1][1])]
+    for parts in (1, 4):
+        assert got(ss.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts))) == brute(rows)
+
+
 def test_edges(edge, empty):
     rows = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()]
     assert got(ss.dedup(edge)) == brute(rows)

@@ -20,13 +20,39 @@ def test_words_and_hashes(texts):
     expected = [re.findall(rb"[^\x20\x09-\x0D]+", t.encode()) for t in texts]
     assert [[raw[s:e] for s, e in zip(starts[a:b], ends[a:b], strict=True)] for a, b in zip(first[:-1], first[1:], strict=True)] == expected
     flat = [w for ws in expected for w in ws]
-    h = tb.range_hash(data, starts, ends)
-    assert len(set(h.tolist())) == len(set(flat))
     assert tb.xxh64(data, starts, ends).tolist() == [xxhash.xxh64_intdigest(w, 42) for w in flat]
     out, s, e, f = tb.squeezed(data, off, tb.NOT_SPACE) if len(data) else (data, starts, ends, first)
     assert [out.tobytes()[s[a] : e[b - 1]] if a < b else b"" for a, b in zip(f[:-1], f[1:], strict=True)] == [b" ".join(w) for w in expected]
 
 
+def test_same_compares_bytes(rng=np.random.default_rng(3)):
+    data = rng.integers(0, 2, 9000).astype(np.uint8)
+    data[4000:8000] = data[:4000]
+    a, size = rng.integers(0, 3000, 500), rng.integers(0, 1000, 500) * rng.integers(0, 3, 500)
+    b = a + 4000 * rng.integers(0, 2, 500) + rng.integers(0, 2, 500)
+    size = np.minimum(size, len(data) - np.maximum(a, b))
+    raw = data.tobytes()
+    want = [raw[i : i + n] == raw[j : j + n] for i, j, n in zip(a, b, size, strict=True)]
+    assert tb.same(data, a, b, size).tolist() == want and 0 < sum(want) < 500
+    assert tb.same(data, a, b, size, data.copy()).tolist() == want
+
+
+def thue_morse(n, a="a", b="b"):
+    """Two words of 2**n letters whose polynomial hashes modulo 2**64 agree from n = 10 on, whatever the base."""
+    x, y = a, b
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_words_alike_to_polynomials_differ():
+    for n in (10, 11, 12):
+        x, y = thue_morse(n)
+        data, off = tb.flat(pa.array([x, y]))
+        h = tb.xxh64(data, off[:-1], off[1:])
+        assert h[0] != h[1] and not tb.same(data, off[:1], off[1:2], np.array([1 << n]))[0]
+
+
 def test_long_ranges_hash_as_the_library_does():
     data = np.random.default_rng(1).integers(0, 256, 5000).astype(np.uint8)
     starts = np.arange(0, 200)

@@ -73,11 +73,11 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     to[:-1][of[1:] == of[:-1]] = line[1:][of[1:] == of[:-1]] - 1
     worded = np.searchsorted(starts, to) > np.searchsorted(starts, line)
     line, to, of = line[worded], to[worded], of[worded]
-    code = tb.mix(tb.range_hash(data, line, to) + seeds[of]) if len(data) else np.zeros(0, np.uint64)
+    code = tb.mix(tb.xxh64(data, line, to) + seeds[of]) if len(data) else np.zeros(0, np.uint64)
     lines = np.bincount(of, minlength=texts)
     distinct_at = np.unique(code, return_index=True)[1]
     out["n_dup_lines"] = lines - np.bincount(of[distinct_at], minlength=texts)
-    h = tb.range_hash(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    h = tb.xxh64(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
     word_of = np.repeat(np.arange(texts), n)
     at = np.flatnonzero(tb.inside(first, REPEAT_WINDOW, len(starts)))
     again = at[_twice(tb.mix(tb.window_hash(h, REPEAT_WINDOW)[at] + seeds[word_of[at]]))] if len(at) else at

@@ -26,6 +26,8 @@ MARK = "▁"
 NEVER = np.int32(2**31 - 1)
 #: Distinct units that a worker remembers before it starts over.
 REMEMBERED = 150_000
+#: Bytes of the units that it remembers at most.
+REMEMBERED_BYTES = 16 << 20
 
 
 def default_model() -> str:
@@ -262,12 +264,26 @@ def _lenient(v: Vocabulary, ids: np.ndarray) -> bytes:
     return b"".join(out)
 
 
+def _distinct(buf: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the distinct unit of each byte range, a range that shows each): grouped by hash, then compared byte for byte."""
+    which, codes = pd.factorize(tb.xxh64(buf, starts, ends))
+    example = np.empty(len(codes), np.int64)
+    example[which[::-1]] = np.arange(len(which))[::-1]
+    shown, size = example[which], ends - starts
+    if not ((size == size[shown]).all() and tb.same(buf, starts, starts[shown], size).all()):  # two units have one hash
+        seen: dict[bytes, int] = {}
+        which = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        example = np.unique(which, return_index=True)[1]
+    return which, example
+
+
 class Encoder:
     """Encodes batches of texts; remembers distinct units between them."""
 
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}  # by the unit itself, not by a hash
+        self.held = 0
         self.ids: list[bytes] = []  # 32-bit ids: a small array object would weigh more than its ids
         self.named: list[bytes] = []
         self.plain: list[bytes] = []
@@ -281,7 +297,8 @@ class Encoder:
         if MARK.encode() in raw:
             pieces = [p.replace(MARK.encode(), b" ") for p in pieces]
         size = np.array([len(p) + 1 if p else 0 for p in pieces], np.int64)
-        buf = np.frombuffer(b"".join(x for p in pieces if p for x in (b" ", p)), np.uint8)
+        raw = b"".join(x for p in pieces if p for x in (b" ", p))
+        buf = np.frombuffer(raw, np.uint8)
         at = np.cumsum(size) - size
         if not len(buf):
             return np.zeros(0, np.int64), np.zeros(len(size) + 1, np.int64)
@@ -291,17 +308,18 @@ class Encoder:
         begin[at[size > 0]] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(buf))
-        if len(self.known) > REMEMBERED:
-            self.known, self.ids, self.named, self.plain = {}, [], [], []
-        which, distinct = pd.factorize(tb.range_hash(buf, starts, ends))
-        number = np.array([self.known.get(h, -1) for h in distinct.tolist()], np.int64)
+        if len(self.known) > REMEMBERED or self.held > REMEMBERED_BYTES:
+            self.known, self.held, self.ids, self.named, self.plain = {}, 0, [], [], []
+        which, example = _distinct(buf, raw, starts, ends)
+        units = [raw[a:b] for a, b in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
+        number = np.array([self.known.get(u, -1) for u in units], np.int64)
         new = np.flatnonzero(number < 0)
         if len(new):
-            example = np.empty(len(distinct), np.int64)
-            example[which[::-1]] = np.arange(len(which))[::-1]
             ids, o = encode_ranges(self.v, buf, starts[example[new]], ends[example[new]])
             number[new] = np.arange(len(new)) + len(self.ids)
-            self.known.update(zip(distinct[new].tolist(), number[new].tolist(), strict=True))
+            fresh = [units[k] for k in new.tolist()]
+            self.known.update(zip(fresh, number[new].tolist(), strict=True))
+            self.held += sum(map(len, fresh))
             words, raw_ids = [self.numbers[i] for i in ids.tolist()], ids.astype(np.int32).tobytes()
             for f, t in zip(o[:-1].tolist(), o[1:].tolist(), strict=True):
                 self.ids.append(raw_ids[4 * f : 4 * t])

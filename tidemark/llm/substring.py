@@ -53,7 +53,7 @@ def _piece(part: pa.RecordBatch, length: int, k: int) -> pa.RecordBatch | None:
     total = len(starts)
     if total < length:
         return None
-    h = tb.range_hash(data, starts, ends)
+    h = tb.xxh64(data, starts, ends)
     at = np.flatnonzero(tb.inside(first, length, total))  # the first word of each run
     if not len(at):
         return None

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 #: Bytes of text that are worked on at once; one longer text is worked on alone.
 SLICE_BYTES = 2 << 20
+#: Longer byte ranges are hashed and compared one by one, shorter ones side by side.
+LONG_BYTES = 1024
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,31 +102,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_LETTERS = mix(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93))
-_powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the base and of its inverse, modulo 2**64."""
-    if len(_powers[0]) < n:
-        for k, b in enumerate((_BASE, _INVERSE)):
-            x = np.full(max(n, 1 << 16), b, U64)
-            x[0] = 1
-            _powers[k] = np.cumprod(x, dtype=U64)
-    return _powers[0][:n], _powers[1][:n]
-
-
-def range_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges; equal bytes give equal hashes wherever they stand."""
-    n = len(data)
-    up, down = powers(n + 1)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(_LETTERS[data] * up[:n], dtype=U64, out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xA24BAED4963EE407))
-
-
 def window_hash(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     """Hashes of all runs of k consecutive values, text borders ignored."""
     n = len(h) - k + 1
@@ -160,11 +138,23 @@ def _wrapped(seed: int) -> list[np.uint64]:
     return [U64(x % (1 << 64)) for x in (seed + int(P1) + int(P2), seed + int(P2), seed, seed - int(P1))]
 
 
-def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42) -> np.ndarray:
-    """XXH64 of byte ranges."""
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, zeros behind the end."""
     padded = np.zeros(len(data) + 8, np.uint8)
     padded[: len(data)] = data
-    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42) -> np.ndarray:
+    """XXH64 of byte ranges."""
+    long = ends - starts > LONG_BYTES
+    if long.any():
+        out = np.empty(len(starts), U64)
+        out[~long] = xxh64(data, starts[~long], ends[~long], seed)
+        raw = memoryview(np.ascontiguousarray(data))
+        out[long] = [xxhash.xxh64_intdigest(raw[a:b], seed) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+        return out
+    lanes = _lanes(data)
     seed = U64(seed)
     size = ends - starts
     at = starts.copy()
@@ -209,6 +199,27 @@ def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42
     return h ^ (h >> U64(32))
 
 
+def same(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray, other: np.ndarray | None = None) -> np.ndarray:
+    """Whether the `size` bytes from a on in data equal those from b on in `other` (data where it isn't given)."""
+    out = np.ones(len(a), bool)
+    x = _lanes(data)
+    y = x if other is None else _lanes(other)
+    long = np.flatnonzero(size > LONG_BYTES)
+    if len(long):
+        to = data if other is None else other
+        out[long] = [np.array_equal(data[i : i + n], to[j : j + n]) for i, j, n in zip(a[long].tolist(), b[long].tolist(), size[long].tolist(), strict=True)]
+    live = np.flatnonzero((size > 0) & (size <= LONG_BYTES))
+    done = 0
+    while len(live):
+        left = size[live] - done
+        cut = np.where(left >= 8, U64(0xFFFFFFFFFFFFFFFF), (U64(1) << (np.minimum(left, 7) * 8).astype(U64)) - U64(1))
+        ok = ((x[a[live] + done] ^ y[b[live] + done]) & cut) == 0
+        out[live[~ok]] = False
+        done += 8
+        live = live[ok & (left > 8)]
+    return out
+
+
 def squeezed(data: np.ndarray, off: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, starts, ends, first): the words of each text with exactly one space between them."""
     starts, ends, first = words(data, off, table)
