@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -16,6 +17,13 @@ PAGES = {
     f"<body><div role='alert'>We use cookies, yes.</div><div class='cookie-notice'><p>{P2}</p></div><div class='post'><h2>Head</h2><p>{P1}</p><blockquote>{P2}</blockquote></div><div style='display:none'><p>{P2}</p></div>": ["Head", P1, P2],
     f"<article><p><b>{P1}<br><p>{P2}</b></p></article><footer>x</footer>": [P1, P2],
     f"<div class='page-header header'><p>{P2}</p></div><div class=post><div class='post-header'><h1 class='header'>Head</h1></div><p>{P1}</p><p>{P2}</p></div>": ["Head", P1, P2],
+    f"<div class='popular-science'><h1>Head</h1><p>{P1}</p><p>{P2}</p></div>": ["Head", P1, P2],
+    f"<div class='popular'><h1>Head</h1><p>{P1}</p></div><div class='comments'><p>{P2}</p></div>": ["Head", P1],
+    f"<div class='has-sidebar'><h1>Head</h1><p>{P1}</p><div class='sidebar'><p>{P2}</p></div></div>": ["Head", P1],
+    f"<div class='search-results-page'><p>{P1}</p>" + f"<p>{P2}</p>" * 9 + f"</div><div class='share-bar'>Tell a friend, or two.</div><div class='intro'><p>{P1}</p></div>": [P1] + [P2] * 9,
+    f"<div class='comments'><p>{P2}</p></div><div hidden><p>{P1}</p></div>": [],
+    f"<i><div><p>{P1}</i></p></div>{P2}": [P1, P2],
+    f"<article><ul><li><p>{P1}<ul><li>in</ul></li><li><p>{P2}</p></ul></article>": [P1, "in", P2],
     "<p>Just one.": ["Just one."],
     "plain text only": ["plain text only"],
     "<p title='a>b'>q</p><a <b>": ["q"],
@@ -41,6 +49,11 @@ def test_broken_markup_of_any_kind():
 
 
 def test_large_pages_take_linear_time():
+    n = 100_000
+    began = time.process_time()
+    for html in ("<b>" * n + "</i>" * n, "<i><div>" + "<b>" * n + "</i>" * n, "<div>" + "<b>" * n + "<div></div>" * n, "<head>" + "<b>" * n + "<body>" * n, "<article>" + "<b>" * n + "<header></header>" * n, "<table>" + "<b>" * n + "<li>" * n + "</td>" * n):
+        ht.extract(html + "x" * 30)
+    assert time.process_time() - began < 6 * 2 * 4  # each some seconds at most; by the square they took hours
     for html in ("<div>" * 30_000 + "x", '<a "' * 50_000, "<" * 300_000, "<p>a," * 50_000, "<b>" * 20_000 + "<p>t</p>" * 2_000, "<!--" * 50_000):
         ht.extract(html)
     assert ht.extract("<article>" + f"<p>{P1}</p>" * 3000 + "</article>") == [P1] * 3000

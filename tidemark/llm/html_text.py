@@ -37,46 +37,86 @@ _UNLIKELY = frozenset(
     "related replies reply respond rss search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar widget widgets "
     "complementary contentinfo search alert".split()
 )
+#: Words of _UNLIKELY that other names hold too ("popular-science"): a page whose text would go with them is read again without them.
+_AMBIGUOUS = frozenset("alert banner copyright header hidden notice notices notification overlay popular promotion reply respond search share sharing skip social sponsor subscription tags".split())
+#: A page is read again where ambiguous names hold so many times the text that was found.
+FAR_MORE = 5
 _LIKELY = frozenset("article articlebody body content entry main post story text".split())
 #: An end tag closes no element beyond one of these.
 _WALL = {"li": frozenset(("ul", "ol", "menu")), "td": frozenset(("table",)), "th": frozenset(("table",)), "tr": frozenset(("table",)), "dd": frozenset(("dl",)), "dt": frozenset(("dl",)), "p": frozenset(("td", "th", "button", "object"))}
 _CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "option": ("option",)}
-_WORD = re.compile(r"[A-Za-z]+")
+_NAME, _WORD = re.compile(r"\S+"), re.compile(r"[A-Za-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "out", "likely", "size", "linked", "points", "link")
+    __slots__ = ("tag", "parent", "out", "soft", "likely", "size", "linked", "points", "link")
 
-    def __init__(self, tag: str, parent: "_Node | None", out: bool, likely: bool):
-        self.tag, self.parent, self.out, self.likely = tag, parent, out, likely
+    def __init__(self, tag: str, parent: "_Node | None", out: bool, soft: bool, likely: bool):
+        self.tag, self.parent, self.out, self.soft, self.likely = tag, parent, out, soft, likely
         self.size = self.linked = 0
         self.points = 0.0
         self.link = tag == "a" or (parent is not None and parent.link)
 
 
-def _marks(tag: str, more: str) -> tuple[bool, bool]:
-    """(unlikely, likely) by the attributes of a start tag."""
-    unlikely = likely = False
+#: How names count against an element: not at all, by an ambiguous word or another one as part of a name, by an ambiguous word as the
+#: whole name, or surely (another word as the whole name, or hidden).
+_NO, _MAYBE, _PART, _WHOLE, _SURELY = range(5)
+
+
+def _marks(tag: str, more: str) -> tuple[int, bool]:
+    """(how unlikely, likely) by the attributes of a start tag."""
+    unlikely, likely = _NO, False
     for name, *values in _ATTRIBUTE.findall(more):
         value, name = "".join(values), name.lower()
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            unlikely = True
+            unlikely = _SURELY
         elif name in ("class", "id", "role", "itemprop"):
             words = {w.lower() for w in _WORD.findall(value)}
             likely |= not _LIKELY.isdisjoint(words)
             if tag in _HEADING or tag != "header" and not _LIKELY.isdisjoint(words):
                 words.discard("header")  # of an article, not of the page
-            unlikely |= not _UNLIKELY.isdisjoint(words)
-    return unlikely and tag not in ("html", "body", "article", "main"), likely
+            words &= _UNLIKELY
+            whole = {n.lower() for n in _NAME.findall(value)} if words else ()
+            for w in words:
+                unlikely = max(unlikely, (_WHOLE if w in _AMBIGUOUS else _SURELY) if w in whole else _MAYBE if w in _AMBIGUOUS else _PART)
+    return _NO if tag in ("html", "body", "article", "main") else unlikely, likely
+
+
+class _Open:
+    """The open elements: a stack, and the depths at which each tag and any block stands in it, so that no tag makes it be searched."""
+
+    def __init__(self, root: _Node):
+        self.stack, self.blocks, self.depths = [root], [0], {}
+
+    def push(self, node: _Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in _BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Closes the element at a depth and all in it."""
+        while len(self.stack) > depth:
+            self.depths[self.stack.pop().tag].pop()
+        while self.blocks[-1] >= depth:
+            self.blocks.pop()
+
+    def last(self, tags) -> int:
+        """The greatest depth of an open element with one of the tags, or 0."""
+        return max((at[-1] for t in tags if (at := self.depths.get(t))), default=0)
 
 
-def _parse(html: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int, int]]]:
-    """(root, elements, blocks): a block is (its element, text, characters, characters in links)."""
-    root = _Node("#", None, False, False)
-    nodes, stack, blocks = [root], [root], []
+def _parse(html: str, trust: int) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int, int]], int]:
+    """(root, elements, blocks, characters passed over for ambiguous names): a block is (its element, text, characters, characters in links).
+
+    Elements go whose names are as unlikely as `trust` or more.
+    """
+    root = _Node("#", None, False, False, False)
+    nodes, blocks, opened = [root], [], _Open(root)
+    stack = opened.stack
     run: list[str] = []
-    linked = 0
+    linked = passed = 0
     owner = root
 
     def flush() -> None:
@@ -89,13 +129,15 @@ def _parse(html: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int, i
             run, linked = [], 0
 
     def add(raw: str) -> None:
-        nonlocal linked, owner
+        nonlocal linked, owner, passed
         top = stack[-1]
         if top.out:
+            if top.soft and not top.link:
+                passed += len(raw.strip())
             return
         text = unescape(raw) if "&" in raw else raw
         if not run:
-            owner = next(x for x in reversed(stack) if x.tag in _BLOCK or x is root)
+            owner = stack[opened.blocks[-1]]
         if top.link:
             linked += len(text.strip())
         run.append(text)
@@ -113,50 +155,39 @@ def _parse(html: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int, i
         if block:
             flush()
         if m["end"]:
-            wall = _WALL.get(tag, ())
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in wall or not block and stack[depth].tag in _BLOCK:
-                    break
+            depth = opened.last((tag,))
+            if depth > (opened.last(_WALL.get(tag, ())) if block else opened.blocks[-1]):
+                opened.cut(depth)
             continue
         if tag in _VOID:
             continue
-        if block:
-            for depth in range(len(stack) - 1, 0, -1):  # a paragraph ends where another block begins
-                x = stack[depth].tag
-                if x == "p" or x in _HEADING and tag in _HEADING:
-                    del stack[depth:]
-                    break
-                if x in _BLOCK:
-                    break
+        if block:  # a paragraph ends where another block begins
+            x = stack[opened.blocks[-1]].tag
+            if x == "p" or x in _HEADING and tag in _HEADING:
+                opened.cut(opened.blocks[-1])
         if tag in _CLOSES:
-            wall = _WALL.get(tag, ())
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in _CLOSES[tag]:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in wall:
-                    break
-        elif tag == "body" and any(x.tag == "head" for x in stack):
-            del stack[next(d for d, x in enumerate(stack) if x.tag == "head") :]
+            depth = opened.last(_CLOSES[tag])
+            if depth > opened.last(_WALL.get(tag, ())):
+                opened.cut(depth)
+        elif tag == "body" and opened.depths.get("head"):
+            opened.cut(opened.depths["head"][0])
         top = stack[-1]
         more = m["more"]
-        unlikely, likely = _marks(tag, more) if len(more) > 1 else (False, False)
-        out = top.out or unlikely or tag in _NEVER
+        unlikely, likely = _marks(tag, more) if len(more) > 1 else (_NO, False)
+        soft = unlikely == _MAYBE and trust == _MAYBE and tag not in _NEVER
+        out = top.out or unlikely >= trust or tag in _NEVER
         if tag == "header" and not top.out:  # the head of an article keeps its headings
-            out = not any(x.tag in ("article", "main") for x in stack)
+            out, soft = not opened.last(("article", "main")), False
         elif not out and top.tag == "header":
             out = tag not in _HEADING and tag not in ("div", "hgroup", "header")
-        node = _Node(tag, top, out, likely)
+        node = _Node(tag, top, out, (top.soft or not top.out and soft) and (not top.soft or unlikely <= _MAYBE and tag not in _NEVER), likely)
         nodes.append(node)
         if not (more.endswith("/>") and tag not in _BLOCK):
-            stack.append(node)
+            opened.push(node)
     if at < len(html):
         add(html[at:])
     flush()
-    return root, nodes, blocks
+    return root, nodes, blocks, passed
 
 
 #: Levels of ancestors that a paragraph passes points to.
@@ -166,12 +197,22 @@ _PARAGRAPH = frozenset("p pre td blockquote div section article li dd main body"
 
 
 def extract(html: str | None) -> list[str]:
-    """The blocks of the main text of a page, in page order; none for a null, empty or textless page."""
-    if not html:
-        return []
-    root, nodes, blocks = _parse(html)
-    if not blocks:
-        return []
+    """The blocks of the main text of a page, in page order; none for a null, empty or textless page.
+
+    A page is read again without regard to ambiguous parts of names where these hold far more text than was found, and with ever
+    less regard to names where nothing is left.
+    """
+    found: list[str] = []
+    for trust in (_MAYBE, _PART, _WHOLE, _SURELY) if html else ():
+        root, nodes, blocks, passed = _parse(html, trust)
+        found = _best(root, nodes, blocks) if blocks else []
+        if found and FAR_MORE * sum(map(len, found)) >= passed:
+            break
+    return found
+
+
+def _best(root: _Node, nodes: list[_Node], blocks: list[tuple[_Node, str, int, int]]) -> list[str]:
+    """The blocks of the best container and of what belongs to it."""
     for own, _, size, linked in blocks:
         own.size += size
         own.linked += linked
@@ -222,7 +263,8 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     White space inside a block is one space, character references are decoded, nothing is cut.  A null or empty
     page, or one without text, gives an empty text.  Broken markup is read as browsers do, roughly: paragraphs end where
-    a block begins, stray end tags are passed over, open elements end with the page.
+    a block begins, stray end tags are passed over, open elements end with the page.  Time grows with the page's length,
+    however deep it is nested.
     """
 
     def run(batches):
