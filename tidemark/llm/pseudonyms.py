@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import hmac
+import ipaddress
 import re
 from functools import lru_cache
 
@@ -26,13 +27,15 @@ TRIAL_KEY = b"trial key, not secret"
 KINDS = ("card", "iban", "phone", "ssn", "ip", "date", "email", "key")
 
 _PATTERN = re.compile(
-    r"""(?P<email>(?<![\w.+-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))"""
+    r"""(?P<email>(?<![\w.+-])[\w%+-]+(?:\.[\w%+-]+)*@(?:[\w-]+\.)+[^\W\d_]{2,24}(?![\w-]))"""
     r"""|(?P<key>(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z2-7]{16}(?![A-Z0-9]))"""
     r"""|(?P<iban>(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?(?![A-Z0-9]))"""
+    r"""|(?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.]))"""
     r"""|(?P<ip>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))"""
-    r"""|(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9]|[./-][0-9]))"""
+    r"""|(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./-][0-9]{2}[./-][0-9]{4})(?![0-9]|[./-][0-9]))"""
     r"""|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"""
     r"""|(?P<phone>(?<![0-9+(])(?:\+1[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]))"""
+    r"""|(?P<world>(?<![0-9+])\+[1-9](?:[ ()./-]{0,3}[0-9]){6,}(?![0-9]))"""
     r"""|(?P<card>(?<![0-9])(?:[0-9][ -]?){12,18}[0-9](?![0-9]))"""
 )
 _HINT = re.compile(r"[0-9@]|AKIA|ASIA")
@@ -114,6 +117,10 @@ def _card(text: str, key: bytes, back: bool) -> str | None:
     return _refilled(text, body + _check_digit(body))
 
 
+def _is_world(text: str) -> bool:
+    return 8 <= len(_digits(text)) <= 15 and text[-1] in _DIGIT
+
+
 def _mod97(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
@@ -176,20 +183,70 @@ def _ip(text: str, key: bytes, back: bool) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
+def _world(text: str, key: bytes, back: bool) -> str | None:
+    if not _is_world(text):
+        return None
+    # the country code stays: what stands before the first space, or two digits
+    lead = re.match(r"\+([0-9]{1,3})(?=[ ()./-])", text)
+    kept = len(lead[1]) if lead else 2
+    d = _digits(text)
+    n = len(d) - kept
+    x = permuted(int(d[kept:]), 10**n, key, b"world" + d[:kept].encode() + bytes([n]), back)
+    return _refilled(text, d[:kept] + str(x).zfill(n))
+
+
+def _ip6(text: str, key: bytes, back: bool) -> str | None:
+    if sum(map(bool, text.split(":"))) < 2 or not any(c in _DIGIT for c in text):
+        return None
+    upper = text != text.lower()
+    if upper and text != text.upper():
+        return None
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    sizes = [len(g) for g in text.split(":")]
+    x, n = int(text.replace(":", ""), 16), sum(sizes)
+    while True:  # a number without digits, or in capitals without letters, would not be known again
+        x = permuted(x, 16**n, key, b"ip6" + bytes(sizes), back)
+        plain = f"{x:0{n}x}"
+        new, at = [], 0
+        for size in sizes:
+            new.append(plain[at : at + size])
+            at += size
+        if any(c in _DIGIT for c in plain) and (not upper or plain != plain.upper()):
+            return (":".join(new)).upper() if upper else ":".join(new)
+
+
+@lru_cache(maxsize=1)
+def _month_first() -> tuple[list[int], dict[int, int]]:
+    """The days that only month-first dates can be, after the 12th of a month, and their places."""
+    days = [d for d in range(_DAYS) if datetime.date.fromordinal(_DAY0 + d).day > 12]
+    return days, {d: k for k, d in enumerate(days)}
+
+
 def _date(text: str, key: bytes, back: bool) -> str | None:
     iso = text[4] == "-"
+    swapped = False
     try:
         if iso:
             day = datetime.date.fromisoformat(text)
         else:
             if text[2] != text[5]:
                 return None
-            day = datetime.date(int(text[6:]), int(text[3:5]), int(text[:2]))
+            first, second, year = int(text[:2]), int(text[3:5]), int(text[6:])
+            swapped = second > 12  # the month stands first
+            day = datetime.date(year, first, second) if swapped else datetime.date(year, second, first)
     except ValueError:
         return None
-    if not 0 <= day.toordinal() - _DAY0 < _DAYS:
+    x = day.toordinal() - _DAY0
+    if not 0 <= x < _DAYS:
         return None
-    day = datetime.date.fromordinal(_DAY0 + permuted(day.toordinal() - _DAY0, _DAYS, key, b"date", back))
+    if swapped:
+        days, place = _month_first()
+        day = datetime.date.fromordinal(_DAY0 + days[permuted(place[x], len(days), key, b"date month first", back)])
+        return f"{day.month:02d}{text[2]}{day.day:02d}{text[2]}{day.year:04d}"
+    day = datetime.date.fromordinal(_DAY0 + permuted(x, _DAYS, key, b"date", back))
     return day.isoformat() if iso else f"{day.day:02d}{text[2]}{day.month:02d}{text[2]}{day.year:04d}"
 
 
@@ -207,9 +264,11 @@ def _key(text: str, key: bytes, back: bool) -> str | None:
     return text[:4] + "".join(_BASE32[x >> 5 * (15 - k) & 31] for k in range(16))
 
 
-_OF = {"card": _card, "iban": _iban, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date, "email": _email, "key": _key}
+_OF = {"card": _card, "iban": _iban, "phone": _phone, "world": _world, "ssn": _ssn, "ip": _ip, "ip6": _ip6, "date": _date, "email": _email, "key": _key}
+#: Forms that count as another kind.
+_COUNTED = {"world": "phone", "ip6": "ip"}
 #: Patterns that may take in groups after the value: (validation, what stands between groups).
-_RUNS = {"card": (_is_card, " -"), "iban": (_is_iban, " ")}
+_RUNS = {"card": (_is_card, " -"), "iban": (_is_iban, " "), "world": (_is_world, " ()./-")}
 
 
 def _end(kind: str, run: str) -> int:
@@ -245,7 +304,8 @@ class Pseudonyms:
             value = self._of(m.lastgroup, m[0])
             new, size = value or (m[0], len(m[0]))
             if value:
-                found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
+                kind = _COUNTED.get(m.lastgroup, m.lastgroup)
+                found[kind] = found.get(kind, 0) + 1
             out += text[at : m.start()], new
             at = m.start() + size
         return "".join(out) + text[at:], found
@@ -255,7 +315,9 @@ def pseudonymised(docs: DataFrame, key: bytes = TRIAL_KEY, back: bool = False, d
     """(doc_id, text, n_<kind> for each kind) for each row of docs.
 
     Values that fail validation (check digits, ranges, calendar) stay; of a run of groups in the form of a card number or IBAN
-    the longest beginning that validates is the value; telephone numbers with +1 or parentheses may have any digits.  A null text stays null and has no values.
+    the longest beginning that validates is the value; telephone numbers with +1 or parentheses may have any digits, those with another
+    + and country code 8 to 15 in all.  Dates are read day first, and month first where that is the only reading.  Letters outside
+    ASCII stay in an address.  A null text stays null and has no values.
     With digest, text is its SHA-256 in hex (null: that of an empty text).  With back, pseudonyms are read back.
     """
 
