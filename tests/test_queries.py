@@ -39,9 +39,26 @@ def test_equals_the_oracle(spark, data, oracle, name):
         assert kinds[c] == KIND.get(kind.replace("bigint", "long"), kind) or kinds[c] in ("BIGINT", "HUGEINT", "INTEGER") and kind in ("bigint", "int"), (c, kind, kinds[c])
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL)))
-def test_kernels_run(spark, data, name):
-    assert entry.queries()[name](spark, data).count() >= 0
+def test_coregistered_raster_is_the_reference(spark, data):
+    """The second raster is the first one moved by a row and two columns: moved back, it is the first one wherever it has pixels."""
+    assert set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL) == {"coregister"}
+    at = data.replace("sf0.001", "sf0.01")
+    rows = {(r.row, r.col): r.first for r in adapters.dense(spark, at).collect()}
+    got = catalogue.QUERIES["coregister"](spark, at).collect()
+    inside = [r for r in got if 40 <= r.row < 90 and 2 <= r.col < 126]
+    assert len(got) == len(rows) and len(inside) == 50 * 124
+    assert all(abs(r.out - rows[r.row, r.col]) < 4 and abs(r.shift_row - 1) < 0.01 and abs(r.shift_col - 2) < 0.01 for r in inside)  # of values to 1009
+
+
+def test_extents_of_boxes(spark):
+    """Length runs along the longitudes, width along the latitudes, whichever corner stands first."""
+    from tidemark.plans import pipelines
+
+    boxes = spark.createDataFrame([(1, 34.0, 126.0, 34.1, 126.5), (2, 34.1, 126.5, 34.0, 126.0), (3, 34.0, 126.0, 34.2, 126.1)], "id long, LatMin double, LonMin double, LatMax double, LonMax double")
+    got = {r.id: (r.length_m, r.width_m) for r in pipelines.centres(boxes).collect()}
+    metres = lambda degrees: math.radians(degrees) * 6_371_000 * math.cos(math.radians(35))
+    for k, want in ((1, (0.5, 0.1)), (2, (0.5, 0.1)), (3, (0.1, 0.2))):
+        assert all(abs(x - metres(y)) < 1e-6 for x, y in zip(got[k], want, strict=True))
 
 
 def test_entry(spark):

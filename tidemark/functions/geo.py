@@ -71,7 +71,7 @@ def geodesic_m(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Serie
     u1, u2 = np.arctan((1 - f) * np.tan(np.radians(lat1))), np.arctan((1 - f) * np.tan(np.radians(lat2)))
     gap = np.radians((lon2 - lon1).to_numpy(float))
     su1, cu1, su2, cu2 = (np.asarray(x, float) for x in (np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)))
-    lam, settled = gap.copy(), np.zeros(len(gap), bool)
+    lam, settled, last = gap.copy(), np.zeros(len(gap), bool), False
     with np.errstate(all="ignore"):
         for _ in range(1000):
             sl, cl = np.sin(lam), np.cos(lam)
@@ -85,8 +85,9 @@ def geodesic_m(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Serie
             new = gap + (1 - c) * f * sa * (sigma + c * ss * (c2m + c * cs * (-1 + 2 * c2m**2)))
             settled = np.abs(new - lam) < 1e-12
             lam = new
-            if settled[~np.isnan(gap)].all():
+            if last:
                 break
+            last = bool(settled[~np.isnan(gap)].all())  # one more round, so that what follows belongs to the settled longitude
         u = ca2 * (a**2 - b**2) / b**2
         big = 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u)))
         small = u / 1024 * (256 + u * (-128 + u * (74 - 47 * u)))

@@ -42,41 +42,77 @@ def candidates(outputs: DataFrame, conf: float = D.conf, classes: list[int] | No
     return rows.select("image_id", "det_id", *(v.alias(n) for n, v in zip(Box._fields, box, strict=True)), "conf", "cls")
 
 
+def in_classes(detections: DataFrame, classes: int, most: int | None = None, order: str = "det_id") -> DataFrame:
+    """Boxes of a class 0 <= cls < classes; with most, the first so many of each image, in the order of a column."""
+    rows = detections.where((F.col("cls") >= 0) & (F.col("cls") < classes))
+    if most is None:
+        return rows
+    place = F.row_number().over(Window.partitionBy("image_id").orderBy(order))
+    return rows.withColumn("_k", place).where(F.col("_k") <= most).drop("_k")
+
+
+def pooled(*parts: DataFrame) -> DataFrame:
+    """Predictions (or labels) of several tiles, models or scales as one bag; `source` tells which part a row is from."""
+    every = [p.withColumn("source", F.lit(k).cast("long")) for k, p in enumerate(parts)]
+    out = every[0]
+    for p in every[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def reversed_order(detections: DataFrame, order: str = "det_id") -> DataFrame:
+    """The boxes of each image from the last to the first."""
+    return detections.orderBy("image_id", F.col(order).desc())
+
+
+def beside(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Columns of two tables side by side, row by row of one key; a row that the other lacks has NULL."""
+    return a.join(b, key, "full")
+
+
 def top(detections: DataFrame, n: int, keys: tuple[str, ...] = ("image_id",)) -> DataFrame:
     """The n most confident of each group, the smaller det_id of equals first; Spark cuts each task to n a group before the shuffle."""
     order = Window.partitionBy(*keys).orderBy(F.col("conf").desc(), "det_id")
     return detections.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= n)
 
 
-def _greedy(x1, y1, x2, y2, order: np.ndarray, iou: float, smaller: bool) -> list[int]:
-    area = (x2 - x1) * (y2 - y1)
-    kept = []
-    while len(order):
-        k, rest = order[0], order[1:]
-        kept.append(int(k))
-        w = np.maximum(0.0, np.minimum(x2[k], x2[rest]) - np.maximum(x1[k], x1[rest]))
-        h = np.maximum(0.0, np.minimum(y2[k], y2[rest]) - np.maximum(y1[k], y1[rest]))
-        inter = w * h
+def _survivors(box: np.ndarray, group: np.ndarray, iou: float, smaller: bool) -> np.ndarray:
+    """The places, in order, of the boxes (rows x1, y1, x2, y2, the most confident of a group first) that suppression keeps.
+
+    All groups advance together: each round keeps the first box left of every group and drops what overlaps it.
+    """
+    area = (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
+    left, kept = np.argsort(group, kind="stable"), []
+    while len(left):
+        own = group[left]
+        first = np.r_[True, own[1:] != own[:-1]]
+        lead = left[first]
+        kept.append(lead)
+        by, left = lead[np.cumsum(first) - 1][~first], left[~first]
+        sides = np.minimum(box[by, 2:], box[left, 2:]) - np.maximum(box[by, :2], box[left, :2])
+        inter = np.prod(np.maximum(sides, 0.0), axis=1)
         with np.errstate(all="ignore"):
-            over = inter / (np.minimum(area[k], area[rest]) if smaller else area[k] + area[rest] - inter)
-        order = rest[~(over > iou)]
-    return kept
+            over = inter / (np.minimum(area[by], area[left]) if smaller else area[by] + area[left] - inter)
+        left = left[~(over > iou)]
+    return np.sort(np.concatenate([*kept, np.zeros(0, np.int64)]))
 
 
 def suppressed(detections: DataFrame, iou: float = D.iou, keys: tuple[str, ...] = ("image_id", "cls"), smaller: bool = False, most_in: int | None = D.most_in, most_out: int | None = D.most_out, out_keys: tuple[str, ...] = ("image_id",)) -> DataFrame:
     """Greedy suppression: from the most confident down, a box goes if it overlaps a kept one of its group by more than iou.
 
     Equals rank by det_id.  most_in and most_out bound the boxes of an image as the detector does; None lifts a bound.
+    One shuffle by out_keys, a part of keys; classes are told apart inside.
     """
-    rows = top(detections, most_in, out_keys).drop("rank") if most_in else detections
-    schema = rows.schema
+    inner = [k for k in keys if k not in out_keys]
+    if len(inner) + len(out_keys) != len(keys):
+        raise ValueError("out_keys must be among keys")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["conf", "det_id"], ascending=[False, True], kind="stable")
-        return pdf.iloc[_greedy(*(pdf[c].to_numpy(float) for c in Box._fields), np.arange(len(pdf)), iou, smaller)]
+        pdf = pdf.sort_values(["conf", "det_id"], ascending=[False, True], kind="stable")[:most_in]
+        group = pdf.groupby(inner, sort=False, dropna=False).ngroup().to_numpy() if inner else np.zeros(len(pdf), np.int64)
+        return pdf.iloc[_survivors(pdf[list(Box._fields)].to_numpy(float), group, iou, smaller)][:most_out]
 
-    kept = rows.groupBy(*keys).applyInPandas(run, schema)
-    return top(kept, most_out, out_keys).drop("rank") if most_out else kept
+    return detections.groupBy(*out_keys).applyInPandas(run, detections.schema)
 
 
 def overlapping_pairs(detections: DataFrame, cell: float = 64.0, same_class: bool = False) -> DataFrame:

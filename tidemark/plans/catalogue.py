@@ -88,7 +88,7 @@ def pixel_to_geo(spark, d):
 
 
 @query(with_tables("facilities", """SELECT id, round(0.5 * (LonMin + LonMax), 6) AS lon, round(0.5 * (LatMin + LatMax), 6) AS lat,
-  round(radians(LatMax - LatMin) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS length_m, round(radians(LonMax - LonMin) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS width_m FROM facilities"""))
+  round(radians(abs(LonMin - LonMax)) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS length_m, round(radians(abs(LatMin - LatMax)) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS width_m FROM facilities"""))
 def box_midpoint_extent(spark, d):
     return pipe.centres(a.facilities(spark, d)).select("id", r(F.col("lon"), 6).alias("lon"), r(F.col("lat"), 6).alias("lat"), r(F.col("length_m"), 3).alias("length_m"), r(F.col("width_m"), 3).alias("width_m"))
 
@@ -140,8 +140,8 @@ def zone_assign(spark, d):
 
 @query(with_tables("facilities confirmed ships pings edges", _CENTRES + f""", u AS ({_REMOVAL}),
 left_ AS (SELECT facilities.*, f.lon, f.lat FROM f JOIN facilities ON facilities.id = f.id WHERE NOT EXISTS (SELECT 1 FROM u WHERE abs(u.lat - f.lat) < 0.002 AND {_distance('f.lat', 'f.lon', 'u.lat', 'u.lon')} < 200.0)), """ + _ZONED.format(points="left_") + """
-SELECT p.id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(radians(LatMax - LatMin) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS length_m,
-  round(radians(LonMax - LonMin) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS width_m, '20240110' AS date, coalesce(nullif(z.zone, 0), -1)::DOUBLE AS region FROM p LEFT JOIN z ON z.id = p.id"""))
+SELECT p.id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(radians(abs(LonMin - LonMax)) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS length_m,
+  round(radians(abs(LatMin - LatMax)) * 6371000.0::DOUBLE * cos(radians(35.0::DOUBLE)), 3) AS width_m, '20240110' AS date, coalesce(nullif(z.zone, 0), -1)::DOUBLE AS region FROM p LEFT JOIN z ON z.id = p.id"""))
 def facility_filter(spark, d):
     out = pipe.unexplained_facilities(a.facilities(spark, d), a.confirmed(spark, d), a.ships(spark, d), a.pings(spark, d), pipe.mercator_zones(a.zones(spark, d)), date="20240110")
     return out.select("id", r(F.col("lon"), 6).alias("lon"), r(F.col("lat"), 6).alias("lat"), r(F.col("length_m"), 3).alias("length_m"), r(F.col("width_m"), 3).alias("width_m"), "date", "region")
@@ -427,12 +427,15 @@ def quickview_transform(spark, d):
     return a.scene(spark).select(r(t[0], 8).alias("x0"), r(t[1], 8).alias("dx"), r(t[3], 8).alias("y0"), r(t[5], 8).alias("dy"), products.divisible(F.lit(70), 32).alias("multiple"), r(products.cosine_ramp(F.lit(25), 100, 0.1, 1.0), 8).alias("ramp"))
 
 
-@query()
+@query(with_tables("ships", """-- more
+p AS (SELECT id, 34.5::DOUBLE - Lat AS a, Lon - 126.0::DOUBLE AS b FROM ships),
+q AS (SELECT id, (0.001::DOUBLE * a - 0.0001::DOUBLE * b) / (0.001::DOUBLE * 0.001::DOUBLE - 0.0001::DOUBLE * 0.0002::DOUBLE) AS r, (0.001::DOUBLE * b - 0.0002::DOUBLE * a) / (0.001::DOUBLE * 0.001::DOUBLE - 0.0001::DOUBLE * 0.0002::DOUBLE) AS c FROM p)
+SELECT 0::BIGINT AS scene_id, id, CASE WHEN r BETWEEN 0 AND 350 AND c BETWEEN 0 AND 480 THEN round(r, 4) + 0.0::DOUBLE END AS row, CASE WHEN r BETWEEN 0 AND 350 AND c BETWEEN 0 AND 480 THEN round(c, 4) + 0.0::DOUBLE END AS col FROM q"""))
 def image_index(spark, d):
     nodes = spark.range(72).select(F.lit(0).cast("long").alias("scene_id"), (F.floor(F.col("id") / 9) * 50).alias("node_row"), (F.col("id") % 9 * 60).alias("node_col"))
     nodes = nodes.withColumns({"lat": 34.5 - F.col("node_row") * 0.001 - F.col("node_col") * 0.0001, "lon": 126.0 + F.col("node_col") * 0.001 + F.col("node_row") * 0.0002})
     points = a.ships(spark, d).select(F.lit(0).cast("long").alias("scene_id"), "id", F.col("Lat").alias("lat"), F.col("Lon").alias("lon"))
-    return products.index_of(points, nodes)
+    return products.index_of(points, nodes).select("scene_id", "id", r(F.col("row")).alias("row"), r(F.col("col")).alias("col"))
 
 
 @query()
@@ -577,10 +580,10 @@ def class_argmax(spark, d):
     return a.table(spark, d, "embeddings").select("vec_id", most.cast("double").alias("best"), n(at).alias("at"))
 
 
-@query("""WITH e AS (SELECT vec_id, unnest(embedding[1:8])::DOUBLE AS v, generate_subscripts(embedding[1:8], 1) AS k FROM embeddings)
+@query("""WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v FROM embeddings)
 SELECT vec_id, round(max(exp(v)) / sum(exp(v)), 6) AS top, round(min(1 / (1 + exp(-v))), 6) AS least FROM e GROUP BY 1""")
 def softmax_sigmoid(spark, d):
-    part = F.transform(F.slice("embedding", 1, 8), lambda v: v.cast("double"))
+    part = F.transform("embedding", lambda v: v.cast("double"))
     return a.table(spark, d, "embeddings").select("vec_id", r(F.array_max(rad.softmax(part)), 6).alias("top"), r(F.array_min(F.transform(part, rad.sigmoid)), 6).alias("least"))
 
 
@@ -625,30 +628,39 @@ def decode_outputs(spark, d):
     return rows.select("image_id", "det_id", r(cx).alias("cx7"), r(w).alias("w7"), r(v4.x1, 6).alias("x4"))
 
 
-_MASK = "mask AS (SELECT image_id, r AS row, c AS col, (CASE WHEN (r // 50 + c // 60 + image_id) % 4 = 0 THEN 0 ELSE 1 END) AS water FROM (SELECT DISTINCT image_id FROM detections WHERE image_id < 4), range(0, 700) t(r), range(0, 700) u(c))"
+def _water(row: Column, col: Column) -> Column:
+    return F.when((F.floor(row / 50) + F.floor(col / 60) + F.col("image_id")) % 4 == 0, 0).otherwise(1)
+
 
+def _mask(touched: DataFrame) -> DataFrame:
+    """The mask's pixels (image_id, row, col, water) that boxes of any image touch."""
+    return touched.select("image_id", "row", "col").distinct().withColumn("water", _water(F.col("row"), F.col("col")))
 
-def _mask(spark, d) -> DataFrame:
-    images = a.detections(spark, d).where("image_id < 4").select("image_id").distinct()
-    grid = images.select("image_id", F.explode(F.sequence(F.lit(0), F.lit(699))).alias("row")).select("image_id", "row", F.explode(F.sequence(F.lit(0), F.lit(699))).alias("col"))
-    return grid.withColumn("water", F.when((F.floor(F.col("row") / 50) + F.floor(F.col("col") / 60) + F.col("image_id")) % 4 == 0, 0).otherwise(1))
+
+_WATER = "(CASE WHEN (row // 50 + col // 60 + image_id) % 4 = 0 THEN 0 ELSE 1 END)"
 
 
 @query(with_tables("detections", f"""-- more
-{_MASK}, c AS (SELECT image_id, det_id, unnest([x1, x2, x1, x2])::BIGINT AS col, unnest([y1, y1, y2, y2])::BIGINT AS row FROM detections WHERE image_id < 4)
-SELECT image_id, det_id FROM c LEFT JOIN mask USING (image_id, row, col) GROUP BY 1, 2 HAVING min(coalesce(water, 0)) = 1"""))
+c AS (SELECT image_id, det_id, unnest([x1, x2, x1, x2])::BIGINT AS col, unnest([y1, y1, y2, y2])::BIGINT AS row FROM detections)
+SELECT image_id, det_id FROM c GROUP BY 1, 2 HAVING min({_WATER}) = 1"""))
 def corner_landmask(spark, d):
-    return det.on_water(a.detections(spark, d).where("image_id < 4"), _mask(spark, d)).select("image_id", "det_id")
+    boxes = a.detections(spark, d)
+    corner = lambda x, y: F.struct(F.floor(F.col(y)).cast("int").alias("row"), F.floor(F.col(x)).cast("int").alias("col"))
+    touched = boxes.select("image_id", F.inline(F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x1", "y2"), corner("x2", "y2"))))
+    return det.on_water(boxes, _mask(touched)).select("image_id", "det_id")
 
 
 @query(with_tables("detections", f"""-- more
-{_MASK}, c AS (SELECT image_id, det_id, (x1 + floor((x2 - x1) / 2))::BIGINT AS col, (y1 + floor((y2 - y1) / 2))::BIGINT AS row FROM detections WHERE image_id < 4)
-SELECT image_id, det_id FROM c JOIN mask USING (image_id, row, col) WHERE water = 1"""))
+c AS (SELECT image_id, det_id, (x1 + floor((x2 - x1) / 2))::BIGINT AS col, (y1 + floor((y2 - y1) / 2))::BIGINT AS row FROM detections)
+SELECT image_id, det_id FROM c WHERE {_WATER} = 1"""))
 def shore_filter(spark, d):
-    return det.off_shore(a.detections(spark, d).where("image_id < 4"), _mask(spark, d).where("water = 0")).select("image_id", "det_id")
+    boxes = a.detections(spark, d)
+    middle = lambda p, q: (F.col(p) + F.floor((F.col(q) - F.col(p)) / 2)).cast("int")
+    touched = boxes.select("image_id", middle("y1", "y2").alias("row"), middle("x1", "x2").alias("col"))
+    return det.off_shore(boxes, _mask(touched).where("water = 0")).select("image_id", "det_id")
 
 
-_TRAIN = "train AS (SELECT l_linenumber::BIGINT AS image_id, l_orderkey::BIGINT AS box_id, l_orderkey * 7 % 100 AS x, l_orderkey * 11 % 80 AS y, l_orderkey % 6 + 3 AS w, l_orderkey % 5 + 3 AS h FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY ALL)"
+_TRAIN = "train AS (SELECT l_linenumber::BIGINT AS image_id, l_orderkey::BIGINT AS box_id, l_orderkey * 7 % 100 AS x, l_orderkey * 11 % 80 AS y, l_orderkey % 6 + 3 AS w, l_orderkey % 5 + 3 AS h FROM lineitem GROUP BY ALL)"
 
 
 @query(with_tables("pixels", f"""-- more
@@ -657,7 +669,7 @@ m AS (SELECT image_id, box_id, avg(b4) AS mean FROM train JOIN pixels ON scene_i
 SELECT t.image_id, t.box_id FROM train t LEFT JOIN m USING (image_id, box_id) LEFT JOIN q ON q.scene_id = t.image_id WHERE x > 0 AND NOT coalesce(mean < level, false)"""))
 def train_box_filter(spark, d):
     k = F.col("l_orderkey")
-    boxes = a.table(spark, d, "lineitem").where(k % 20 == 0).select(n("l_linenumber").alias("image_id"), n(k).alias("box_id"), (k * 7 % 100).alias("x"), (k * 11 % 80).alias("y"), (k % 6 + 3).alias("w"), (k % 5 + 3).alias("h")).distinct()
+    boxes = a.table(spark, d, "lineitem").select(n("l_linenumber").alias("image_id"), n(k).alias("box_id"), (k * 7 % 100).alias("x"), (k * 11 % 80).alias("y"), (k % 6 + 3).alias("w"), (k % 5 + 3).alias("h")).distinct()
     pixels = a.pixels(spark, d).select(F.col("scene_id").alias("image_id"), "row", "col", F.col("b4").alias("value"))
     return det.bright_boxes(boxes, pixels).select("image_id", "box_id")
 
@@ -693,7 +705,7 @@ def degree_grid(spark, d):
     return lookup.degree_grid(bounds, ["g"])
 
 
-@query("""WITH s AS (SELECT o_orderkey AS scene_id, o_orderdate + to_seconds(o_orderkey * 977 % 86400) AS seen FROM orders WHERE o_orderkey % 10 = 0),
+@query("""WITH s AS (SELECT o_orderkey AS scene_id, o_orderdate + to_seconds(o_orderkey * 977 % 86400) AS seen FROM orders),
 o AS (SELECT 'P' || lpad(o_orderkey::VARCHAR, 8, '0') AS name, o_orderdate::DATE AS day, o_orderkey FROM orders WHERE o_orderkey % 7 = 0),
 h AS (SELECT 'R' || lpad(o_orderkey::VARCHAR, 8, '0') AS name, o_orderdate + to_seconds(o_orderkey * 541 % 86400) AS a FROM orders WHERE o_orderkey % 3 = 0),
 p AS (SELECT scene_id, min(name) AS name FROM s JOIN o ON s.seen::DATE = o.day GROUP BY 1), r AS (SELECT scene_id, min(name) AS name FROM s JOIN h ON a < seen AND seen < a + INTERVAL 100 MINUTE GROUP BY 1)
@@ -703,7 +715,7 @@ def orbit_interval(spark, d):
     o = a.table(spark, d, "orders")
     after = lambda factor: day + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (k * factor % 86400).cast("decimal(18,6)"))
     name = lambda p: F.concat(F.lit(p), F.lpad(k.cast("string"), 8, "0"))
-    scenes = o.where(k % 10 == 0).select(k.alias("scene_id"), after(977).alias("at"))
+    scenes = o.select(k.alias("scene_id"), after(977).alias("at"))
     precise = o.where(k % 7 == 0).select(name("P").alias("name"), F.date_sub(day.cast("date"), 1).alias("start"), F.date_add(day.cast("date"), 1).alias("end"))
     other = o.where(k % 3 == 0).select(name("R").alias("name"), after(541).alias("start"), (after(541) + F.expr("INTERVAL 100 MINUTE")).alias("end"))
     return lookup.orbit_of(scenes, precise, other).select("scene_id", "orbit")
@@ -748,60 +760,135 @@ def bbox_parse(spark, d):
     return spark.range(30).select("id", F.transform(strings.box_or_point(text), lambda v: F.round(v, 6)).alias("box"))
 
 
-# ---- kernels: rows only, held against hand fixtures in the tests
+# ---- kernels and whole flows
 
+_NMS = """-- more
+crowded AS (SELECT * REPLACE (x2 + 60 AS x2, y2 + 60 AS y2) FROM detections),
+o AS (SELECT *, row_number() OVER (PARTITION BY image_id, cls ORDER BY conf DESC, det_id) AS k FROM crowded),
+beats AS (SELECT b.image_id, b.cls, b.k, list(a.k) AS stronger FROM o a JOIN o b ON a.image_id = b.image_id AND a.cls = b.cls AND a.k < b.k AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2
+  WHERE (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1)) / ((a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) - (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1))) > 0.3::DOUBLE GROUP BY 1, 2, 3),
+walk AS (SELECT image_id, cls, 1::BIGINT AS k, [1::BIGINT] AS kept FROM o WHERE k = 1
+  UNION ALL SELECT w.image_id, w.cls, o.k, CASE WHEN coalesce(list_has_any(w.kept, s.stronger), false) THEN w.kept ELSE list_append(w.kept, o.k) END
+  FROM walk w JOIN o ON o.image_id = w.image_id AND o.cls = w.cls AND o.k = w.k + 1 LEFT JOIN beats s ON s.image_id = o.image_id AND s.cls = o.cls AND s.k = o.k),
+ends AS (SELECT image_id, cls, unnest(arg_max(kept, k)) AS k FROM walk GROUP BY 1, 2)
+SELECT image_id, det_id, cls::BIGINT AS cls FROM ends JOIN o USING (image_id, cls, k)"""
 
-@query()
+
+def _crowded(spark, d) -> DataFrame:
+    """Boxes large enough to overlap others of their class."""
+    return a.detections(spark, d).withColumns({"x2": F.col("x2") + 60, "y2": F.col("y2") + 60})
+
+
+@query(with_tables("detections", _NMS + " QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY conf DESC, det_id) <= 300").replace("WITH ", "WITH RECURSIVE ", 1))
 def nms_greedy(spark, d):
-    return det.suppressed(a.detections(spark, d)).select("image_id", "det_id", "cls")
+    return det.suppressed(_crowded(spark, d)).select("image_id", "det_id", n("cls").alias("cls"))
 
 
-@query()
+@query(with_tables("detections", _NMS).replace("WITH ", "WITH RECURSIVE ", 1))
+def nms_unbounded(spark, d):
+    """Suppression with no bound on the boxes that go in or come out."""
+    return det.suppressed(_crowded(spark, d), most_in=None, most_out=None).select("image_id", "det_id", n("cls").alias("cls"))
+
+
+#: The smallest number of a blob walks from pixel to pixel until it has reached all of them.
+_BLOBS = """run(scene_id, row, col, blob) USING KEY (scene_id, row, col) AS (SELECT scene_id, row, col, row * 4294967296 + col FROM flags
+  UNION SELECT scene_id, row, col, min(blob) FROM (SELECT f.scene_id, f.row, f.col, w.blob FROM run w, range(-1, 2) s(i), range(-1, 2) t(j), recurring.run f
+    WHERE f.scene_id = w.scene_id AND f.row = w.row + i AND f.col = w.col + j AND w.blob < f.blob) GROUP BY 1, 2, 3)"""
+
+
+@query(with_tables("pixels", f"-- more\nflags AS (SELECT scene_id, row, col FROM pixels WHERE qa < 40), {_BLOBS} SELECT scene_id, blob, count(*) AS n FROM run GROUP BY 1, 2").replace("WITH ", "WITH RECURSIVE ", 1))
 def components(spark, d):
     flags = a.pixels(spark, d).where("qa < 40").select("scene_id", "row", "col")
     return raster.components(flags, tile=64).groupBy("scene_id", "blob").agg(F.count("*").alias("n"))
 
 
-@query()
+def _chi2(x: str) -> str:
+    """Chi-squared of 500 degrees of freedom, an even number: a finite sum."""
+    return f"(CASE WHEN {x} = 0 THEN 0 WHEN {x} > 0 THEN 1 - list_sum(list_transform(range(250), lambda i: exp(-({x}) / 2 + i * ln(({x}) / 2) - lgamma(i + 1.0::DOUBLE)))) END)"
+
+
+_FLAGGED = f"""-- more
+f AS (SELECT scene_id, avg(vv / nullif(vv2, 0)) * 4.4::DOUBLE * 4.4::DOUBLE AS f FROM pixels GROUP BY 1),
+beta AS (SELECT scene_id, 10 * f AS p, 2 * f AS q, k / 200000.0::DOUBLE AS z FROM f, range(1, 200000) t(k)),
+steps AS (SELECT scene_id, p, q, z, sum(exp((p - 1) * ln(z) + (q - 1) * ln(1 - z) + lgamma(p + q) - lgamma(p) - lgamma(q))) OVER (PARTITION BY scene_id ORDER BY z) / 200000 AS cdf FROM beta),
+level AS (SELECT scene_id, arg_min(q * z / (p * (1 - z)), z) / 10 AS level FROM steps WHERE cdf >= 0.001::DOUBLE GROUP BY 1),
+scored AS (SELECT scene_id, row, col, {_GAP} AS x, level FROM pixels LEFT JOIN level USING (scene_id)),
+judged AS (SELECT scene_id, row, col, coalesce({_chi2('x')} < level, false) AS flag FROM scored),
+flags AS (SELECT scene_id, row, col FROM judged WHERE flag), {_BLOBS},
+big AS (SELECT scene_id, blob FROM run GROUP BY 1, 2 HAVING count(*) >= 30)
+SELECT j.scene_id, j.row, j.col, j.flag, (CASE WHEN big.blob IS NULL THEN 1 ELSE 0 END)::BIGINT AS written_mask FROM judged j LEFT JOIN run USING (scene_id, row, col) LEFT JOIN big ON big.scene_id = run.scene_id AND big.blob = run.blob"""
+
+
+@query(with_tables("pixels", _FLAGGED).replace("WITH ", "WITH RECURSIVE ", 1))
 def change_mask(spark, d):
     return pipe.change_mask(a.pixels(spark, d)).select("scene_id", "row", "col", "flag", n("written_mask").alias("written_mask"))
 
 
-@query()
+# the second raster is the first one, moved by a row and two columns: that is what alignment has to find
+
+
+@query("SELECT 0::BIGINT AS scene_id, (o_orderkey // 4096)::BIGINT AS patch_row, (o_orderkey % 128 // 32)::BIGINT AS patch_col, 1.0::DOUBLE AS shift_row, 2.0::DOUBLE AS shift_col FROM orders GROUP BY 1, 2, 3 HAVING count(*) = 1024")
 def phase_shift(spark, d):
-    return alignment.patch_shifts(a.dense(spark, d), "first", "second", patch=32, upsample=10)
+    out = alignment.patch_shifts(a.dense(spark, d), "first", "second", patch=32, upsample=10)
+    return out.select("scene_id", "patch_row", "patch_col", r(F.col("shift_row"), 1).alias("shift_row"), r(F.col("shift_col"), 1).alias("shift_col"))
 
 
-@query()
+@query("SELECT 0::BIGINT AS scene_id, 1.0::DOUBLE AS shift_row, 2.0::DOUBLE AS shift_col FROM (SELECT 1 FROM orders GROUP BY o_orderkey // 2048, o_orderkey % 128 // 16 HAVING count(*) = 256) HAVING count(*) > 0")
 def scene_shift(spark, d):
-    return alignment.scene_shift(alignment.patch_shifts(a.dense(spark, d), "first", "second", patch=16, upsample=10), degree=2)
+    out = alignment.scene_shift(alignment.patch_shifts(a.dense(spark, d), "first", "second", patch=16, upsample=10), degree=2)
+    return out.select("scene_id", r(F.col("shift_row"), 1).alias("shift_row"), r(F.col("shift_col"), 1).alias("shift_col"))
 
 
-@query()
+@query(with_tables("pixels", """-- more
+w AS (SELECT k, exp(-0.5::DOUBLE * k * k) / (SELECT sum(exp(-0.5::DOUBLE * j * j)) FROM range(-4, 5) t(j)) AS w FROM range(-4, 5) u(k)),
+h AS (SELECT p.scene_id, p.row, p.col, CASE WHEN count(q.vv) = 9 THEN sum(q.vv * w) END AS s FROM pixels p CROSS JOIN w LEFT JOIN pixels q ON q.scene_id = p.scene_id AND q.row = p.row + k AND q.col = p.col GROUP BY 1, 2, 3)
+SELECT p.scene_id, p.row, p.col, round(CASE WHEN count(q.s) = 9 THEN sum(q.s * w) END, 6) AS smooth FROM h p CROSS JOIN w LEFT JOIN h q ON q.scene_id = p.scene_id AND q.row = p.row AND q.col = p.col + k GROUP BY 1, 2, 3"""))
 def gaussian_smooth(spark, d):
-    return raster.by_tile(a.pixels(spark, d), "vv", lambda x: kernels.gaussian(x, 1.0), reach=5, tile=64)
+    out = raster.by_tile(a.pixels(spark, d), "vv", lambda x: kernels.gaussian(x, 1.0), reach=5, tile=64)
+    return out.select("scene_id", "row", "col", r(F.when(~F.isnan("out"), F.col("out")), 6).alias("smooth"))
 
 
-@query()
+@query(with_tables("pixels", """-- more
+m AS (SELECT scene_id, row + i AS row, col + j AS col, median(b5 * 2) AS m FROM pixels, range(-2, 3) s(i), range(-2, 3) t(j) GROUP BY 1, 2, 3)
+SELECT p.scene_id, p.row, p.col, (min(m) > 60)::INTEGER::DOUBLE AS shore FROM pixels p JOIN m ON m.scene_id = p.scene_id AND m.col = p.col AND m.row BETWEEN p.row - 5 AND p.row GROUP BY 1, 2, 3"""))
 def shore_mask(spark, d):
     rows = a.pixels(spark, d).withColumn("v", F.col("b5") * 2.0)
-    return raster.by_tile(rows, "v", lambda x: kernels.shore(x, level=60.0), reach=16, tile=64)
+    return raster.by_tile(rows, "v", lambda x: kernels.shore(x, level=60.0), reach=16, tile=64, out="shore")
 
 
-@query()
+@query(with_tables("pixels", f"-- more\nx AS (SELECT scene_id, row, col, 100 * {_GAP} AS x FROM pixels) SELECT scene_id, row, col, round({_chi2('x')}, 6) + 0.0::DOUBLE AS p FROM x"))
 def chi2_p_value(spark, d):
     rows = a.pixels(spark, d).select("scene_id", "row", "col", rad.log_ratio((F.col("vh"), F.col("vv")), (F.col("vh2"), F.col("vv2"))).alias("x"))
-    return rows.select("scene_id", "row", "col", statistics.chi2_cdf(F.col("x") * 100, 500.0).alias("p"))
+    return rows.select("scene_id", "row", "col", r(statistics.chi2_cdf(F.col("x") * 100, 500.0), 6).alias("p"))
 
 
-@query()
+_ELLIPSOID = "1 / 298.257223563::DOUBLE"
+
+
+@query(with_tables("facilities confirmed", _CENTRES + f""",
+g AS (SELECT f.id, radians(k.lon - f.lon) AS l, atan((1 - {_ELLIPSOID}) * tan(radians(f.lat))) AS u, atan((1 - {_ELLIPSOID}) * tan(radians(k.lat))) AS v FROM f JOIN k ON k.id = f.id % 50),
+it AS (SELECT id, l, u, v, l AS lam, 0 AS n FROM g
+  UNION ALL SELECT id, l, u, v, l + (1 - c) * f * sa * (sg + c * ss * (m + c * cs * (2 * m * m - 1))), n + 1 FROM (SELECT *, f / 16 * ca * (4 + f * (4 - 3 * ca)) AS c FROM (
+    SELECT *, {_ELLIPSOID} AS f, CASE WHEN ca = 0 THEN 0 ELSE cs - 2 * sin(u) * sin(v) / ca END AS m FROM (SELECT *, 1 - sa * sa AS ca FROM (SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cos(u) * cos(v) * sin(lam) / ss END AS sa, atan2(ss, cs) AS sg FROM (
+      SELECT *, sqrt(pow(cos(v) * sin(lam), 2) + pow(cos(u) * sin(v) - sin(u) * cos(v) * cos(lam), 2)) AS ss, sin(u) * sin(v) + cos(u) * cos(v) * cos(lam) AS cs FROM it WHERE n < 12)))))),
+z AS (SELECT *, CASE WHEN ca = 0 THEN 0 ELSE cs - 2 * sin(u) * sin(v) / ca END AS m, ca * (1 / pow(1 - {_ELLIPSOID}, 2) - 1) AS w FROM (SELECT *, 1 - sa * sa AS ca FROM (SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cos(u) * cos(v) * sin(lam) / ss END AS sa, atan2(ss, cs) AS sg FROM (
+  SELECT *, sqrt(pow(cos(v) * sin(lam), 2) + pow(cos(u) * sin(v) - sin(u) * cos(v) * cos(lam), 2)) AS ss, sin(u) * sin(v) + cos(u) * cos(v) * cos(lam) AS cs FROM it WHERE n = 12)))),
+y AS (SELECT *, 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS big, w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS small FROM z)
+SELECT id, round(CASE WHEN ss = 0 THEN 0 ELSE 6378137 * (1 - {_ELLIPSOID}) * big * (sg - small * ss * (m + small / 4 * (cs * (2 * m * m - 1) - small / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3)))) END, 3) AS metres FROM y""").replace("WITH ", "WITH RECURSIVE ", 1))
 def geodesic(spark, d):
     f, k = pipe.centres(a.facilities(spark, d)), pipe.centres(a.confirmed(spark, d))
     rows = f.alias("f").join(k.alias("k"), F.col("k.id") == F.col("f.id") % 50)
-    return rows.select("f.id", F.round(geo.geodesic_m(F.col("f.lat"), F.col("f.lon"), F.col("k.lat"), F.col("k.lon")), 3).alias("metres"))
+    return rows.select("f.id", r(geo.geodesic_m(F.col("f.lat"), F.col("f.lon"), F.col("k.lat"), F.col("k.lon")), 3).alias("metres"))
 
 
-@query()
+@query(with_tables("pixels", """-- more
+x AS (SELECT scene_id, (col - 64) / 64.0::DOUBLE AS x, b5 AS y FROM pixels),
+s AS (SELECT scene_id, count(*) AS s0, sum(x) AS s1, sum(pow(x, 2)) AS s2, sum(pow(x, 3)) AS s3, sum(pow(x, 4)) AS s4, sum(pow(x, 5)) AS s5, sum(pow(x, 6)) AS s6, sum(y) AS t0, sum(x * y) AS t1, sum(pow(x, 2) * y) AS t2, sum(pow(x, 3) * y) AS t3 FROM x GROUP BY 1),
+a1 AS (SELECT *, sqrt(s0) AS l11 FROM s), a2 AS (SELECT *, s1 / l11 AS l21, s2 / l11 AS l31, s3 / l11 AS l41 FROM a1), a3 AS (SELECT *, sqrt(s2 - l21 * l21) AS l22 FROM a2),
+a4 AS (SELECT *, (s3 - l31 * l21) / l22 AS l32, (s4 - l41 * l21) / l22 AS l42 FROM a3), a5 AS (SELECT *, sqrt(s4 - l31 * l31 - l32 * l32) AS l33 FROM a4), a6 AS (SELECT *, (s5 - l41 * l31 - l42 * l32) / l33 AS l43 FROM a5),
+a7 AS (SELECT *, sqrt(s6 - l41 * l41 - l42 * l42 - l43 * l43) AS l44, t0 / l11 AS y1 FROM a6), a8 AS (SELECT *, (t1 - l21 * y1) / l22 AS y2 FROM a7), a9 AS (SELECT *, (t2 - l31 * y1 - l32 * y2) / l33 AS y3 FROM a8),
+b3 AS (SELECT *, (t3 - l41 * y1 - l42 * y2 - l43 * y3) / l44 / l44 AS c3 FROM a9), b2 AS (SELECT *, (y3 - l43 * c3) / l33 AS c2 FROM b3), b1 AS (SELECT *, (y2 - l32 * c2 - l42 * c3) / l22 AS c1 FROM b2)
+SELECT scene_id, round((y1 - l21 * c1 - l31 * c2 - l41 * c3) / l11, 6) + 0.0::DOUBLE AS c0, round(c1, 6) + 0.0::DOUBLE AS c1, round(c2, 6) + 0.0::DOUBLE AS c2, round(c3, 6) + 0.0::DOUBLE AS c3 FROM b1"""))
 def shift_polynomial(spark, d):
-    rows = a.pixels(spark, d).withColumn("x", F.col("col") / math.pi)
-    return lookup.polynomial(rows, ["scene_id"], "x", "b5", 3)
+    rows = a.pixels(spark, d).withColumn("x", (F.col("col") - 64) / 64)
+    return lookup.polynomial(rows, ["scene_id"], "x", "b5", 3).select("scene_id", *(r(F.col(f"c{k}"), 6).alias(f"c{k}") for k in range(4)))

@@ -16,10 +16,10 @@ from ..operators import zones as zone_ops
 
 
 def centres(boxes: DataFrame) -> DataFrame:
-    """Boxes (id, LatMin, LonMin, LatMax, LonMax) as id, lon, lat, length_m, width_m."""
+    """Boxes (id, LatMin, LonMin, LatMax, LonMax) as id, lon, lat, length_m (along the longitudes), width_m (along the latitudes), corners in any order."""
     return boxes.select(
         "id", (0.5 * (F.col("LonMin") + F.col("LonMax"))).alias("lon"), (0.5 * (F.col("LatMin") + F.col("LatMax"))).alias("lat"),
-        geo.metres_of_degrees(F.col("LatMax") - F.col("LatMin")).alias("length_m"), geo.metres_of_degrees(F.col("LonMax") - F.col("LonMin")).alias("width_m"),
+        geo.metres_of_degrees(F.abs(F.col("LonMin") - F.col("LonMax"))).alias("length_m"), geo.metres_of_degrees(F.abs(F.col("LatMin") - F.col("LatMax"))).alias("width_m"),
     )
 
 
