@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import substring as ss
@@ -48,7 +50,7 @@ def test_small_vocabulary_and_batches(spark):
     try:
         for n in ("10000", "7"):  # occurrences of a seed go over the ends of batches
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
-            for length, k in ((13, 3), (5, 2), (4, 4)):
+            for length, k in ((13, 7), (13, 3), (5, 2), (4, 4)):
                 assert got(ss.dedup(df, length, k)) == brute(rows, length)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
@@ -64,6 +66,37 @@ def test_long_words_that_differ(spark):
         assert got(ss.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts))) == brute(rows)
 
 
+@pytest.mark.parametrize("many", [1, 4, 2000])
+def test_anchors_with_many_occurrences(spark, many):
+    rng = random.Random(11)
+    stock = "this stock phrase of seven words stands before ever other words"
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(6)) + f" {stock} " + " ".join(rng.choice("ab") for _ in range(8))) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute(rows)
+    assert got(ss.dedup(df, many=many)) == want and sum(w[2] for w in want) > 500
+
+
+def test_rows_that_share_an_id_keep_their_own_spans(spark):
+    passage = " ".join(f"p{k}" for k in range(20))
+    rows = [(1, passage), (2, "one two three " + passage + " four"), (2, passage + " five six seven eight"), (2, "nothing of it"), (None, passage)]
+    assert got(ss.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))) == brute(rows)
+
+
+def test_one_anchor_takes_linear_time_and_bounded_state():
+    n = 400_000
+    docs = np.arange(n)
+    anchors = pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.array(docs), pa.array(docs), pa.array(np.zeros(n, np.int32))], schema=ss._SENT)
+    cut = lambda b, k: [b.slice(i, 10_000) for i in range(0, k, 10_000)]
+    began = time.process_time()
+    out = list(ss._joined(iter(cut(anchors, n)), 2000))
+    assert sum(b.num_rows for b in out) == n and all(b.column("many").to_pylist()[0] for b in out)
+    run = " ".join(f"w{k}" for k in range(13))
+    rows = pa.RecordBatch.from_arrays([anchors.column("key"), anchors.column("doc"), anchors.column("at"), pa.array(np.full(n, 3, np.int32)), pa.array([run] * n)], schema=ss._AROUND)
+    found = list(ss._extended(iter(cut(rows, n)), 13, 7))
+    assert sum(b.num_rows for b in found) == n - 1
+    assert time.process_time() - began < 60
+
+
 def test_edges(edge, empty):
     rows = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()]
     assert got(ss.dedup(edge)) == brute(rows)
@@ -77,8 +110,7 @@ def test_spans_are_maximal(spark):
     r = {x.doc_id: x for x in ss.dedup(df).collect()}
     assert [tuple(s) for s in r[2].spans] == [(1, 41), (42, 62)] and r[2].text == "x y z"
     assert not r[1].spans
-    s = np.array([(5 << 32) + 13, (6 << 32) + 13, (19 << 32) + 13, (40 << 32) + 13])
-    assert [x.tolist() for x in ss.maximal(s)] == [[5, 40], [32, 53]]
+    assert [x.tolist() for x in ss.maximal(np.array([40, 6, 19, 5]), np.array([13, 13, 13, 13]))] == [[5, 40], [32, 53]]
 
 
 def test_digest(docs, spark, data):
