@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from tests.llm.test_lines import brute as brute_lines
-from tests.llm.test_simhash import fingerprint, grouped
+from tests.llm.test_simhash import jaccard_groups
 from tests.llm.test_wumanber import brute as brute_benchmark
 from tidemark.llm import lines, quality
 from tidemark.llm.sentencepiece_bpe import default_model
@@ -14,7 +14,7 @@ def test_equals_brute_force(spark, data, docs):
     kept = {r.doc_id for r in quality.judged(docs, model).where("kept").collect()}
     rows = [(r.doc_id, r.text, r.source) for r in docs.collect() if r.doc_id in kept]
     after = {int(i): t for i, _, cut, t in brute_lines(rows, lines.MIN_SITES) if not cut or t.strip()}
-    group = grouped(sorted((i, fingerprint(t)) for i, t in after.items()))
+    group, _ = jaccard_groups(sorted(after.items()))
     after = {i: t for i, t in after.items() if group[i] == i}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
     bad = {int(w[0]) for w in brute_benchmark(after.items(), items) if w[4]}

@@ -102,3 +102,74 @@ def test_components_of_chains_and_stars(spark):
 def test_query(spark, data):
     r = sh.op9_simhash_anchors(spark, data).first()
     assert re.fullmatch("[0-9a-f]{16}", r.fingerprint) and r.component_id <= r.doc_id
+
+
+def jaccard_groups(rows, n=5, least=0.8):
+    """(smallest id of each set of documents linked by similarity, pairs of different texts that are similar), by comparing all."""
+    sets = []
+    for i, t in rows:
+        w = re.sub(b"[A-Z]", lambda m: m[0].lower(), (t or "").encode()).split()
+        sets.append((i, frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()))
+    parent = {i: i for i, _ in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    pairs = []
+    sets.sort(key=lambda x: len(x[1]))
+    for k, (i, s) in enumerate(sets):
+        for j, u in sets[k + 1 :]:
+            if len(s) < least * len(u):
+                break
+            if s == u or s and (both := len(s & u)) and both >= least * (len(s) + len(u) - both):
+                if s != u:
+                    pairs.append((i, j))
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: find(i) for i in parent}, pairs
+
+
+@pytest.mark.parametrize("paired", [sh.PAIRED, 1])
+def test_similar_documents_by_brute_force(spark, paired):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want, pairs = jaccard_groups(rows)
+    got = {r.doc_id: r.component for r in sh.similar(docs, most_paired=paired).collect()}
+    assert set(got) == set(want)
+    members = {}
+    for i, c in got.items():
+        members.setdefault(c, []).append(i)
+    for c, ids in members.items():
+        assert c == min(ids) and len({want[i] for i in ids}) == 1  # nothing unlike is joined
+    found = sum(got[i] == got[j] for i, j in pairs)
+    assert len(pairs) > 10 and found >= 0.9 * len(pairs)
+    assert sum(got[i] != i for i in got) >= 0.98 * sum(want[i] != i for i in want)
+
+
+@pytest.mark.parametrize("paired", [sh.PAIRED, 1])
+def test_many_near_copies_of_one_text(spark, paired):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(300)]
+    rows = []
+    for k in range(150):
+        w = list(base)
+        for _ in range(rng.randint(1, 6)):
+            w[rng.randrange(300)] = word()
+        rows.append((1000 + k, " ".join(w)))
+    rows += [(5000, " ".join(base)), *((k, " ".join(word() for _ in range(100))) for k in range(40))]
+    got = {r.doc_id: r.component for r in sh.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), most_paired=paired).collect()}
+    assert all(got[k] == k for k in range(40))
+    assert sum(got[1000 + k] == 1000 for k in range(150)) >= 140
+
+
+def test_similar_on_odd_rows(edge, empty):
+    rows = [r for r in edge.select("doc_id", "text").collect() if r.doc_id is not None]
+    want, _ = jaccard_groups([(r.doc_id, r.text) for r in rows])
+    got = sorted((r.doc_id, r.component) for r in sh.similar(edge).collect())
+    assert got == sorted((r.doc_id, want[r.doc_id]) for r in rows)
+    assert sh.keep_one_similar(edge).columns == edge.columns and sh.similar(empty).count() == 0
+    kept = sh.keep_one_similar(edge).select("doc_id").collect()
+    assert sorted(str(r.doc_id) for r in kept) == sorted([str(i) for i, c in got if i == c] + ["None"])

@@ -37,21 +37,35 @@ def _packed() -> np.ndarray:
     return np.ascontiguousarray(bits).view("<u8").ravel()
 
 
-def fingerprints_of(column: pa.Array, shingle: int = 3) -> np.ndarray:
-    """The fingerprint (uint64) of each text: A-Z in lower case, words between ASCII white space,
-    runs of `shingle` words with repeats; a shorter text is one run, one without words is zero."""
+def _spoken(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, first) of the words of each text between ASCII white space, A-Z in lower case, one space between them."""
     data, off = tb.flat(column)
-    out = np.zeros(len(column), np.uint64)
-    data, starts, ends, first = tb.squeezed(tb.LOWER[data], off, tb.NOT_SPACE) if len(data) else (data, off[:0], off[:0], off)
+    return tb.squeezed(tb.LOWER[data], off, tb.NOT_SPACE) if len(data) else (data, off[:0], off[:0], off)
+
+
+def _runs(words, shingle: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all runs of `shingle` words, runs of each text that has words, these texts); a shorter text is one run."""
+    data, starts, ends, first = words
     n = np.diff(first)
     has = np.flatnonzero(n)
+    runs = np.maximum(n[has] - shingle + 1, 1)
+    i = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs - first[has], runs)
+    last = np.minimum(i + shingle - 1, np.repeat(first[has] + n[has] - 1, runs))
+    return tb.xxh64(data, starts[i], ends[last], seed), runs, has
+
+
+def fingerprints_of(column: pa.Array, shingle: int = 3) -> np.ndarray:
+    """The fingerprint (uint64) of each text: A-Z in lower case, words between ASCII white space,
+    runs of `shingle` words with repeats; a shorter text is one run, one without words is zero."""
+    return _majority(*_runs(_spoken(column), shingle), len(column))
+
+
+def _majority(h: np.ndarray, runs: np.ndarray, has: np.ndarray, texts: int) -> np.ndarray:
+    """The bits that over half of each text's hashes have."""
+    out = np.zeros(texts, np.uint64)
     if not len(has):
         return out
-    runs = np.maximum(n[has] - shingle + 1, 1)
     base = np.cumsum(runs) - runs
-    i = np.arange(runs.sum()) - np.repeat(base - first[has], runs)
-    last = np.minimum(i + shingle - 1, np.repeat(first[has] + n[has] - 1, runs))
-    h = tb.xxh64(data, starts[i], ends[last])
     pieces = -(-runs // 255)
     piece = np.repeat(base, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
     each = np.cumsum(pieces) - pieces
@@ -145,6 +159,110 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
+#: Words of the runs behind the fingerprints by which similar() finds candidates: shorter ones than those that it compares,
+#: since an edited word changes fewer of them and so fewer bits.
+CANDIDATE_WORDS = 2
+#: Candidates differ in this many bits of a fingerprint at most (texts of five-word Jaccard 0.8 have some 5, hardly ever over 13).
+CANDIDATE_BITS = 16
+#: An anchor with more members than this has each compared with its first and its most central one instead of with each other.
+PAIRED = 32
+
+
+def _bodies(docs: DataFrame) -> DataFrame:
+    """(doc_id, body, fa, fb): the hash of each text's words, and two fingerprints by other hashes of its runs."""
+
+    def run(batches):
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                words = _spoken(part.column("text"))
+                data, starts, ends, first = words
+                body = np.zeros(part.num_rows, np.uint64)
+                has = np.flatnonzero(np.diff(first))
+                body[has] = tb.xxh64(data, starts[first[has]], ends[first[has + 1] - 1])
+                fa, fb = (_majority(*_runs(words, CANDIDATE_WORDS, seed), part.num_rows) for seed in (42, 43))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(pa.array(x.view(np.int64)) for x in (body, fa, fb))], ["doc_id", "body", "fa", "fb"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, body long, fa long, fb long")
+
+
+def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
+    """(body, runs): the distinct hashes of the runs of each text."""
+
+    def run(batches):
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                words = _spoken(part.column("text"))
+                data, starts, ends, first = words
+                h, runs, has = _runs(words, shingle)
+                body = tb.xxh64(data, starts[first[has]], ends[first[has + 1] - 1])
+                cut = np.cumsum(runs)[:-1] if len(runs) else []
+                yield pa.RecordBatch.from_arrays([pa.array(body.view(np.int64)), pa.array([np.unique(x) for x in np.split(h.view(np.int64), cut)] if len(runs) else [], pa.list_(pa.int64()))], ["body", "runs"])
+
+    return docs.select("text").mapInArrow(run, "body long, runs array<long>")
+
+
+def candidates(bodies: DataFrame, most_paired: int = PAIRED) -> DataFrame:
+    """(x, y): pairs of bodies (body, fa, fb) that share an anchor on a half of a fingerprint and differ in few bits of the first.
+
+    At an anchor with few members all are paired; at a crowded one each meets the first member and the one nearest to what most
+    fingerprints have, so a group of copies of one text meets that text.
+    """
+    low, high = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)), lambda c: F.call_function("shiftrightunsigned", F.col(c), F.lit(32))
+    places = F.concat(_anchors(0, low("fa")), _anchors(1, high("fa")), _anchors(2, low("fb")), _anchors(3, high("fb")))
+    dealt = written(bodies.select("body", "fa", F.inline(places)).select("key", "body", "fa"), "dealt")
+    size = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("body", "fa")).alias("first")).where("n > 1")
+    met = written(dealt.join(size, "key"), "met")
+    near = lambda c, d: F.bit_count(F.col(c).bitwiseXOR(F.col(d))) <= CANDIDATE_BITS
+    few = met.where(F.col("n") <= most_paired)
+    a = few.select("key", F.col("body").alias("x"), F.col("fa").alias("f"))
+    b = few.select(F.col("key").alias("key_b"), F.col("body").alias("y"), F.col("fa").alias("g"))
+    paired = a.join(b, (F.col("key") == F.col("key_b")) & (F.col("x") < F.col("y")) & near("f", "g")).select("x", "y")
+    crowd = met.where(F.col("n") > most_paired)
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(k))
+    votes = [F.when(2 * F.count_if(F.col("fa").bitwiseAND(bit(k)) != 0) > F.count("*"), bit(k)).otherwise(F.lit(0).cast("long")) for k in range(64)]
+    usual = crowd.groupBy("key").agg(F.array(*votes).alias("bits")).select("key", F.aggregate("bits", F.lit(0).cast("long"), lambda x, y: x.bitwiseOR(y)).alias("usual"))
+    off = F.bit_count(F.col("fa").bitwiseXOR(F.col("usual")))
+    central = crowd.join(usual, "key").groupBy("key").agg(F.min(F.struct(off.alias("off"), "body", "fa")).alias("c"))
+    star = lambda df, c: df.select(F.col("body").alias("x"), F.col("fa").alias("f"), F.col(f"{c}.body").alias("y"), F.col(f"{c}.fa").alias("g")).where((F.col("x") != F.col("y")) & near("f", "g")).select("x", "y")
+    every = paired.union(star(crowd, "first")).union(star(crowd.join(central, "key"), "c"))
+    return every.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def similar(docs: DataFrame, shingle: int = 5, least: float = 0.8, most_paired: int = PAIRED) -> DataFrame:
+    """(doc_id, component): component is the smallest doc_id linked through texts whose sets of `shingle`-word runs have a Jaccard similarity of `least` or more.
+
+    Fingerprints and anchors only find candidates; each is compared by its whole set of runs, so no unlike texts are linked, and of
+    the similar ones those are missed that share no anchor on any of four halves (see the README for the measured share).  Texts of
+    the same words are one class before that; null, empty and white texts are one class too.  Rows with a null doc_id
+    are left out; repeated doc_ids give repeated rows; an empty table gives an empty result.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    prints = written(_bodies(docs), "bodies")
+    classes_ = written(prints.groupBy("body").agg(F.min("doc_id").alias("rep"), F.min("fa").alias("fa"), F.min("fb").alias("fb")), "classes")
+    pairs = written(candidates(classes_, most_paired), "pairs")
+    both = pairs.select(F.col("x").alias("body")).union(pairs.select("y")).distinct()
+    asked = classes_.join(both, "body", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    runs = _shingles(docs.join(asked, "doc_id", "left_semi"), shingle).groupBy("body").agg(F.first("runs").alias("runs"))
+    runs = written(runs, "runs")
+    shown = pairs.join(runs.select(F.col("body").alias("x"), F.col("runs").alias("rx")), "x").join(runs.select(F.col("body").alias("y"), F.col("runs").alias("ry")), "y")
+    common = F.size(F.array_intersect("rx", "ry"))
+    edges = shown.select(F.col("x").alias("a"), F.col("y").alias("b"), common.alias("n"), (F.size("rx") + F.size("ry") - common).alias("of")).where(F.col("n") >= least * F.col("of"))
+    comp = components(edges.select("a", "b"))
+    of = classes_.join(comp, classes_.body == comp.node, "left").select("body", "rep", F.coalesce("component", "body").alias("set"))
+    of = written(of, "sets")
+    first = of.groupBy("set").agg(F.min("rep").alias("component"))
+    return prints.join(of.join(first, "set").select("body", "component"), "body").select("doc_id", "component")
+
+
+def keep_one_similar(docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs but those of documents with a similar one (see similar()) of a smaller doc_id in their group.
+
+    Rows with a null doc_id stay; rows that share a doc_id stay or go together.
+    """
+    gone = similar(docs, **options).where("doc_id != component").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
 def op9_simhash_anchors(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
