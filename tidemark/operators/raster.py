@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import radiometry as rad
-from ..shared import dropped, written
+from ..shared import written
+from . import linked
 
 
 def scene_mean(pixels: DataFrame, value: str, nodata: float | None = None, single: bool = False) -> DataFrame:
@@ -171,33 +172,10 @@ def components(flags: DataFrame, tile: int = 512) -> DataFrame:
     near = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0)]
     to = edge.select("scene_id", F.col("blob").alias("a"), "row", "col", F.explode(F.array(*near)).alias("d")).select("scene_id", "a", (F.col("row") + F.col("d.i")).alias("row"), (F.col("col") + F.col("d.j")).alias("col"))
     links = to.join(edge.select("scene_id", F.col("row").cast(dict(to.dtypes)["row"]).alias("row"), F.col("col").cast(dict(to.dtypes)["col"]).alias("col"), F.col("blob").alias("b")), ["scene_id", "row", "col"]).where("a != b").select("scene_id", "a", "b")
-    merged = _contracted(links)
+    merged = linked.components(links, ["scene_id"]).select("scene_id", F.col("node").alias("blob"), F.col("component").alias("to"))
     return local.join(merged, ["scene_id", "blob"], "left").select("scene_id", "row", "col", F.coalesce("to", "blob").alias("blob"))
 
 
-def _contracted(links: DataFrame) -> DataFrame:
-    """(scene_id, blob, to): every label but the smallest of its connected set, with that smallest one."""
-
-    def down(e: DataFrame) -> DataFrame:
-        return e.where("a != b").select("scene_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-    e = written(down(links), "links")
-    state = None
-    while True:
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("scene_id", "a", "b").cast("decimal(38,0)"))).first())
-        if now == state or not now[0]:
-            return e.select("scene_id", F.col("a").alias("blob"), F.col("b").alias("to"))
-        state = now
-        both = e.union(e.select("scene_id", F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("scene_id", "a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = down(both.where("b > a").join(least, ["scene_id", "a"]).select("scene_id", F.col("b").alias("a"), F.col("m").alias("b")))
-        least = large.groupBy("scene_id", "a").agg(F.min("b").alias("m"))
-        small = down(large.join(least, ["scene_id", "a"]).select("scene_id", F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("scene_id", "a", F.col("m").alias("b"))))
-        after = written(small, "links")
-        dropped(e)
-        e = after
-
-
 def large_blobs(flags: DataFrame, least: int = 30, tile: int = 512) -> DataFrame:
     """The pixels of components of at least `least` pixels."""
     marked = components(flags, tile)
