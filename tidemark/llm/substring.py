@@ -9,8 +9,8 @@ overlap or touch are joined into maximal spans.
 
 The texts are cut into pieces of some MB.  Within a piece repeats are settled at once (equal hashes, then equal bytes) and an anchor is sent
 only where a run that holds it is unsettled, so a passage in a third of all documents has a row for each piece, not for each document.
-Anchors with many occurrences all the same (a stock phrase before ever other words) are split by the whole run, so that each part has one
-run, of which the first document is all that has to be kept.
+Anchors with many occurrences all the same (a stock phrase before ever other words) are split by the words beside them: a run reaches half
+of what it may to the left of the anchor, or else further to the right.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ LENGTH = 13
 SEED_WORDS = 7
 #: Bytes of text of a piece.
 PIECE_BYTES = 4 << 20
-#: An anchor with more occurrences is split by the whole run.
-MANY = 2000
+#: An anchor with more occurrences is split by the words beside it.
+MANY = 20_000
 # a place is the row's tag * 2**32 + word, so that rows that share a doc_id keep their own spans; n: 0 for an anchor, else the words of a settled span
 _SENT = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("n", pa.int32())])
 _SHARED = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("many", pa.bool_())])
@@ -155,9 +155,12 @@ def _chained(batches):
 
 
 def _around(batches, length: int, k: int):
-    """The words around each anchor of a document; of an anchor with many occurrences, each run on its own."""
+    """The words around each anchor of a document; those of an anchor with many occurrences by the words on one side and on the other."""
     more = length - k
+    left = (more + 1) // 2  # a run has so many words before the anchor, or else more - left + 1 after it
+    right = more - left + 1
     for batch in batches:
+        batch = batch.filter(batch.column("anchors").is_valid())
         for part, texts in _unpacked(batch):
             data, starts, ends, first, tag = _words(texts)
             raw = data.tobytes()
@@ -170,17 +173,19 @@ def _around(batches, length: int, k: int):
             doc = part.column("doc_id").to_numpy()[row]
             word = (at & 0xFFFFFFFF) + first[row]
             lo, hi = np.maximum(word - more, first[row]), np.minimum(word + length, first[row + 1])
-            few = ~many
-            rows = [(key[few], doc[few], at[few], (word - lo)[few], lo[few], hi[few])]
-            for j in np.arange(more + 1) if many.any() else ():  # the run that begins j words before the anchor
-                a = word - j
-                fits = many & (a >= lo) & (a + length <= hi)
-                a = a[fits]
-                code = tb.xxh64(data, starts[a], ends[a + length - 1])
-                rows.append((tb.mix(code ^ tb.U64(j)).view(np.int64), doc[fits], at[fits], np.full(len(a), j), a, a + length))
-            key, doc, at, before, lo, hi = (np.concatenate(x) for x in zip(*rows, strict=True))
+            few = ~many | (more == 0)
+            rows = [(key[few], doc[few], at[few], word[few], lo[few], hi[few])]
+            if not few.all():
+                for side, fits, a, b, x, y in (
+                    (0, word - lo >= left, word - left, word + k, lo, np.minimum(hi, word + k + more - left)),
+                    (1, hi - word - k >= right, word, word + k + right, np.maximum(lo, word - left + 1), hi),
+                ):
+                    fits = fits & ~few
+                    code = tb.xxh64(data, starts[a[fits]], ends[b[fits] - 1], 43 + side)
+                    rows.append((code.view(np.int64), doc[fits], at[fits], word[fits], x[fits], y[fits]))
+            key, doc, at, word, lo, hi = (np.concatenate(x) for x in zip(*rows, strict=True))
             said = [raw[x:y].decode() for x, y in zip(starts[lo].tolist(), ends[hi - 1].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(at), pa.array(before.astype(np.int32)), pa.array(said, pa.string())], schema=_AROUND)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(at), pa.array((word - lo).astype(np.int32)), pa.array(said, pa.string())], schema=_AROUND)
 
 
 def _classes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -235,7 +240,7 @@ def _base(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_packed, "doc_id long, packed binary")
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS, many: int = MANY) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS, many: int = MANY, base: DataFrame | None = None) -> DataFrame:
     """(doc, at, n): spans of n words of docs covered by runs of `length` words that also start in a document with a smaller
     doc_id; at is the row's tag * 2**32 + first word.  Spans may overlap; maximal() joins them.
 
@@ -252,8 +257,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS,
     by_key = sent.repartition("key").sortWithinPartitions("key", "doc")
     shared = written(by_key.mapInArrow(lambda batches: _joined(batches, many), "key long, doc long, at long, n int, many boolean"), "shared")
     anchors = shared.where("n = 0").groupBy("doc").agg(F.collect_list(F.struct("at", "key", "many")).alias("anchors"))
-    base = _base(docs)
-    around = base.join(anchors, base.doc_id == anchors.doc).select("doc_id", "packed", "anchors").mapInArrow(lambda batches: _around(batches, length, seed_words), "key long, doc long, at long, before int, words string")
+    base = _base(docs) if base is None else base
+    around = base.join(anchors, base.doc_id == anchors.doc, "left").select("doc_id", "packed", "anchors").mapInArrow(lambda batches: _around(batches, length, seed_words), "key long, doc long, at long, before int, words string")
     grown = around.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(lambda batches: _extended(batches, length, seed_words), "doc long, at long, n int")
     return shared.where("n > 0").select("doc", "at", "n").union(grown)
 
@@ -291,8 +296,8 @@ def _unpacked(batch: pa.RecordBatch):
 
 
 def _with_spans(docs: DataFrame, length: int, seed_words: int, many: int) -> DataFrame:
-    spans = repeats(docs, length, seed_words, many).groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    base = _base(docs)
+    base = _base(docs)  # shuffled once: both joins read the same exchange
+    spans = repeats(docs, length, seed_words, many, base).groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
     return base.join(spans, base.doc_id == spans.doc, "left").select("doc_id", "packed", "spans")
 
 
