@@ -56,3 +56,29 @@ def test_over_tables(docs, edge, empty, library):
         assert all(g[2] == len(library.encode_ordinary(g[3])) for g in got)
     assert ec.counted(docs).where("n_edits > 0").count() > 0
     assert ec.counted(empty).count() == 0
+
+
+def test_trees_are_kept_and_edited_again(spark, docs, texts, counter, tmp_path):
+    import tiktoken
+
+    ec.trees(docs).write.parquet(f"{tmp_path}/trees")
+    library = tiktoken.Encoding("ranks", pat_str=ec.default_ranks()[1], mergeable_ranks=ec.read_ranks(ec.default_ranks()[0]), special_tokens={})
+    now = {i: t or "" for i, t in texts.items()}
+    rng = random.Random(8)
+    for k in range(2):  # each run reads what the one before it wrote
+        script = []
+        for i in rng.sample([i for i, t in now.items() if len(t) > 400], 40):
+            for seq in range(2):
+                start = rng.randrange(len(now[i]))
+                end, new = min(len(now[i]), start + rng.randrange(6)), rng.choice(["", "x", " two words", None])
+                script.append((i, seq, start, end, new))
+                now[i] = now[i][:start] + (new or "") + now[i][end:]
+        edits = spark.createDataFrame(script, "doc_id long, seq int, start long, end long, new string").repartition(3)
+        ec.edited(spark.read.parquet(f"{tmp_path}/trees" + "2" * k), edits).write.parquet(f"{tmp_path}/trees" + "2" * (k + 1))
+        rows = spark.read.parquet(f"{tmp_path}/trees" + "2" * (k + 1)).collect()
+        assert {r.doc_id: "".join(x.text for x in r.leaves) for r in rows} == now
+        assert all(r.n_tokens == len(library.encode(now[r.doc_id], disallowed_special=())) for r in rows)
+        touched = [r for r in rows if r.n_edits]
+        assert len(touched) == 40 and all(r.n_encoded == 0 for r in rows if not r.n_edits)
+        assert 0 < sum(r.n_encoded for r in touched) < 0.1 * sum(len(x.sizes) for r in touched for x in r.leaves)
+    assert ec.edited(ec.trees(docs.limit(0)), edits).count() == 0

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import simhash as sh
-from tidemark.llm.components import components
+from tidemark.operators.linked import components
 
 
 def fingerprint(text, n=3):

@@ -4,6 +4,9 @@ A document's pre-tokens stand in the leaves of a segment tree whose nodes sum ch
 An edit finds its leaf by walking the character sums, takes the pre-tokens it touches and two before them (a pre-token's match looks
 at most into the second character after the next one's start), splits from there until a new boundary
 falls on an old one behind the edit, encodes only those pre-tokens, and updates the sums on the way up.
+
+trees() gives the trees of a table of documents as a table, which can be written, and edited() applies edits to such a table: a later
+run splits and encodes nothing but what its edits touch.
 """
 
 from __future__ import annotations
@@ -81,6 +84,18 @@ class TokenTree:
         self.encoded = 0  # what edits have had encoded
         self._build([text[:0] + "".join(pieces[i : i + LEAF]) for i in range(0, len(pieces), LEAF)], [sizes[i : i + LEAF] for i in range(0, len(pieces), LEAF)], [tokens[i : i + LEAF] for i in range(0, len(pieces), LEAF)])
 
+    @classmethod
+    def loaded(cls, leaves: list[dict], counter: Counter) -> "TokenTree":
+        """The tree of leaves that saved() gave: nothing is split or encoded."""
+        tree = cls.__new__(cls)
+        tree.counter, tree.encoded = counter, 0
+        tree._build([x["text"] for x in leaves], [x["sizes"] for x in leaves], [x["tokens"] for x in leaves])
+        return tree
+
+    def saved(self) -> list[dict]:
+        """The leaves (text, lengths and token counts of its pre-tokens); sums above them are added up again when they are loaded."""
+        return [{"text": t, "sizes": s, "tokens": n} for t, s, n in zip(self.texts, self.sizes, self.tokens, strict=True)]
+
     def _count(self, pieces: list[str]) -> list[int]:
         self.encoded += len(pieces)
         return self.counter.counts(pieces)
@@ -232,5 +247,52 @@ def counted(docs: DataFrame, patterns=REDACTIONS, ranks: str | None = None, patt
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema if digest else f"{schema}, text string")
 
 
+_LEAVES = pa.list_(pa.struct([("text", pa.string()), ("sizes", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))]))
+_TREE = "leaves array<struct<text: string, sizes: array<int>, tokens: array<int>>>"
+
+
+def trees(docs: DataFrame, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, leaves) for each row of docs: its segment tree, to be written and edited later.  A null text counts as empty."""
+    path, split = default_ranks()
+    given = docs.sparkSession.sparkContext.broadcast((read_ranks(ranks or path), pattern or split))
+
+    def run(batches):
+        counter = Counter(*given.value)
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                made = [TokenTree(t or "", counter) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([t.n_tokens for t in made], pa.int64()), pa.array([t.saved() for t in made], _LEAVES)], ["doc_id", "n_tokens", "leaves"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, n_tokens long, {_TREE}")
+
+
+def edited(trees: DataFrame, edits: DataFrame, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, n_edits, n_encoded, leaves): the trees (doc_id, leaves) after edits (doc_id, seq, start, end, new).
+
+    Edits of a document apply in the order of seq, each to the text that those before it left; characters start..end give way to
+    `new` (null: nothing).  Documents without edits go through untouched; edits without a document don't count.  n_encoded is the number of
+    pre-tokens that had to be encoded.
+    """
+    path, split = default_ranks()
+    given = trees.sparkSession.sparkContext.broadcast((read_ranks(ranks or path), pattern or split))
+    script = edits.select(F.col("doc_id").cast("long").alias("_doc"), F.struct("seq", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "new").alias("e"))
+    script = script.where("_doc is not null").groupBy("_doc").agg(F.sort_array(F.collect_list("e")).alias("script"))
+    rows = trees.select(F.col("doc_id").cast("long").alias("doc_id"), "leaves").join(script, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "leaves", "script")
+
+    def run(batches):
+        counter = Counter(*given.value)
+        for batch in batches:
+            out = []
+            for leaves, script in zip(batch.column("leaves").to_pylist(), batch.column("script").to_pylist(), strict=True):
+                tree = TokenTree.loaded(leaves, counter)
+                for e in script or ():
+                    tree.edit(e["start"], e["end"], e["new"] or "")
+                out.append((tree.n_tokens, len(script or ()), tree.encoded, tree.saved()))
+            n, k, encoded, saved = zip(*out, strict=True) if out else ((),) * 4
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(encoded, pa.int64()), pa.array(saved, _LEAVES)], ["doc_id", "n_tokens", "n_edits", "n_encoded", "leaves"])
+
+    return rows.mapInArrow(run, f"doc_id long, n_tokens long, n_edits long, n_encoded long, {_TREE}")
+
+
 def op5_edit_aware_counts(spark, sf_dir: str) -> DataFrame:
     return counted(spark.read.parquet(f"{sf_dir}/documents.parquet"))

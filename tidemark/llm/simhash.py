@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.linked import components
 from ..shared import written
 from . import textbuf as tb
-from .components import components
 
 #: An anchor whose homes times members are over this number is resolved by meeting points.
 MOST_COMPARED = 4096
