@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULTS
 from ..functions import boxes as bx
 from ..functions.boxes import Box
+from . import raster
 
 D = DEFAULTS.detector
 
@@ -176,7 +177,7 @@ def bright_boxes(boxes: DataFrame, pixels: DataFrame, share: float = 0.5, cell:
     at = pixels.withColumn("cx", F.floor(F.col("col") / cell)).withColumn("cy", F.floor(F.col("row") / cell))
     held = spread.join(at, ["image_id", "cx", "cy"]).where("col >= x and col < x + w and row >= y and row < y + h")
     means = held.groupBy("image_id", "box_id").agg(F.avg("value").alias("mean"))
-    level = pixels.groupBy("image_id").agg(F.percentile("value", F.lit(share)).alias("level"))
+    level = raster.quantiles(pixels, "value", [share], keys=("image_id",)).withColumnRenamed("q0", "level")
     dark = means.join(level, "image_id").where("mean < level")
     rows = boxes if keep_zero else boxes.where("x > 0")
     return rows.join(dark, ["image_id", "box_id"], "left_anti")

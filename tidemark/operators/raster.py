@@ -35,11 +35,38 @@ def band_statistics(pixels: DataFrame, value: str, nodata: float | None = None)
     return pixels.groupBy("scene_id").agg(F.min(v).alias("least"), F.max(v).alias("most"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), (100 * F.count(v) / F.count("*")).alias("valid_percent"))
 
 
-def quantiles(pixels: DataFrame, value: str, shares: list[float], exact: bool = True) -> DataFrame:
-    """(scene_id, q0, q1, ...): interpolated quantiles; with exact false, sketched ones for scenes too large to sort."""
-    v = rad.known(F.col(value))
-    q = F.percentile(v, F.array(*map(F.lit, shares))) if exact else F.percentile_approx(v, shares, 100_000)
-    return pixels.groupBy("scene_id").agg(q.alias("q")).select("scene_id", *(F.col("q")[k].alias(f"q{k}") for k in range(len(shares))))
+#: Accuracy of the sketch that brackets a quantile: between its bounds lie some 6 / BRACKET of a scene's pixels.
+BRACKET = 2000
+
+
+def quantiles(pixels: DataFrame, value: str, shares: list[float], exact: bool = True, keys: tuple[str, ...] = ("scene_id",)) -> DataFrame:
+    """(scene_id, q0, q1, ...): interpolated quantiles; with exact false, sketched ones.
+
+    Exact ones take two passes: a mergeable sketch brackets each quantile, then values below the bracket are counted
+    and only those inside it, each distinct one once, are put in order.  A scene is never sorted in one task.  A scene without values has NULL.
+    """
+    if not exact:
+        q = F.percentile_approx(rad.known(F.col(value)), shares, 100_000)
+        return pixels.groupBy(*keys).agg(q.alias("q")).select(*keys, *(F.col("q")[k].alias(f"q{k}") for k in range(len(shares))))
+    rows = pixels.select(*keys, rad.known(F.col(value)).cast("double").alias("v"))
+    near = [min(max(s + d * 3 / BRACKET, 0.0), 1.0) for s in shares for d in (-1, 1)]
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("v", near, BRACKET).alias("near"), F.min("v").alias("least"), F.max("v").alias("most"), F.count("v").alias("n"))
+    low = lambda k: F.when(F.lit(near[2 * k] == 0.0), F.col("least")).otherwise(F.col("near")[2 * k])
+    high = lambda k: F.when(F.lit(near[2 * k + 1] == 1.0), F.col("most")).otherwise(F.col("near")[2 * k + 1])
+    bounds = sketch.select(*keys, "n", F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(s)).alias("share"), low(k).alias("low"), high(k).alias("high")) for k, s in enumerate(shares))).alias("bounds"))
+    bounds = written(bounds, "bounds")
+    known = rows.where("v is not null")
+    placed = known.join(bounds, [*keys]).select(*keys, "n", "v", F.inline("bounds")).where("v <= high")
+    below = F.col("v") < F.col("low")
+    counts = placed.groupBy(*keys, "n", "k", "share", F.when(~below, F.col("v")).alias("v")).agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(*keys, "k").orderBy(F.col("v").asc_nulls_first()))  # the count below the bracket comes first
+    at = (F.col("n") - 1) * F.col("share")
+    ranked = counts.withColumns({"upto": upto, "at": at}).withColumn("from", F.col("upto") - F.col("c"))
+    holds = lambda place: F.max(F.when((F.col("from") <= place) & (place < F.col("upto")), F.col("v")))
+    two = ranked.groupBy(*keys, "k").agg(holds(F.floor("at")).alias("a"), holds(F.ceil("at")).alias("b"), F.first("at").alias("at"))
+    mixed = F.when(F.ceil("at") == F.floor("at"), F.col("a")).otherwise((F.ceil("at") - F.col("at")) * F.col("a") + (F.col("at") - F.floor("at")) * F.col("b"))
+    found = two.groupBy(*keys).agg(*(F.max(F.when(F.col("k") == k, mixed)).alias(f"q{k}") for k in range(len(shares))))
+    return bounds.select(*keys).join(found, [*keys], "left")
 
 
 def stretched(pixels: DataFrame, value: str, low: float = 0.01, high: float = 0.99, exact: bool = True) -> DataFrame:

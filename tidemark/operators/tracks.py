@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..config import Platform
 from ..functions import geo, strings
+from ..shared import written
 
 
 def in_scene(pings: DataFrame, scenes: DataFrame, margin_s: float = config.TIME_MARGIN_S, bucket_s: int = 3600, zero_is_missing: bool = True) -> DataFrame:
@@ -43,6 +44,15 @@ def first_row(rows: DataFrame, keys: list[str], order: str = "seq") -> DataFrame
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_r")).select(*keys, "_r.*")
 
 
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """rows with `place`, counted from 1 in the order of a column: sorted ranges are numbered one by one and moved on by the rows of those before."""
+    ranged = written(rows.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a range
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    return ranged.join(sizes.select("_range", before.alias("_before")), "_range").withColumn("place", own + F.col("_before")).drop("_range", "_before")
+
+
 def scene_seconds(y: Column, scene: str = "") -> Column:
     """The time at which the scene's line int(y) was seen; NULL for lines it doesn't have."""
     c = lambda n: F.col(f"{scene}{n}")
@@ -70,7 +80,7 @@ def synchronised(pings: DataFrame, scenes: DataFrame, margin_s: float = config.T
     if shifted_lookup:
         place = Window.partitionBy("scene_id").orderBy("seq")
         firsts = first_row(inside.select("scene_id", "mmsi", "seq").withColumn("_place", F.row_number().over(place)), ["scene_id", "mmsi"])
-        every = pings.select(F.row_number().over(Window.orderBy("seq")).alias("_place"), "name", "kind", "destination")
+        every = numbered(pings.select("seq", "name", "kind", "destination"), "seq").drop("seq").withColumnRenamed("place", "_place")
         said = firsts.select("scene_id", "mmsi", "_place").join(every, "_place").drop("_place")
     else:
         said = first_row(inside.select("scene_id", "mmsi", "seq", "name", "kind", "destination"), ["scene_id", "mmsi"]).drop("seq")

@@ -8,15 +8,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import boxes as bx
 from ..functions import geo, kernels, statistics, strings
 from ..functions import radiometry as rad
 from ..operators import alignment, lookup, products, proximity, raster, tiles, tracks
 from ..operators import detections as det
 from ..operators import zones as zone_ops
+from ..sources import geotiff, tables
 from . import adapters as a
 from . import pipelines as pipe
 from .adapters import with_tables
@@ -218,9 +220,7 @@ def ais_azimuth_offset(spark, d):
 
 @query("SELECT event_id, ts, user_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 06:00:00.5'")
 def span_scan(spark, d):
-    from ..sources.tables import in_span
-
-    return in_span(a.table(spark, d, "events"), "2024-01-10 00:00:00", "2024-01-10 06:00:00.5").select("event_id", "ts", "user_id")
+    return tables.in_span(a.table(spark, d, "events"), "2024-01-10 00:00:00", "2024-01-10 06:00:00.5").select("event_id", "ts", "user_id")
 
 
 # ---- pixels
@@ -448,15 +448,14 @@ def coregister(spark, d):
 @query("""SELECT epoch(time_bucket(INTERVAL 1 DAY, ts))::BIGINT AS start_s, (user_id % 10)::BIGINT AS mmsi, count(*) AS n, round(avg((event_id * 7 % 30)::DOUBLE), 6) AS mean_sog FROM events GROUP BY 1, 2""")
 def stream_activity(spark, d):
     """The streaming aggregation run over files to their end."""
-    from ..shared import folder
     from ..streaming import tracks as live
 
     schema = a.table(spark, d, "events").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
     stream = live.reports(spark, f"{d}/events*.parquet", schema).withColumns({"ts": F.col("ts").cast("timestamp"), "mmsi": F.col("user_id") % 10, "sog": (F.col("event_id") * 7 % 30).cast("double")})
-    name = f"activity_{abs(hash(d)) % 10**9}_{int(math.floor(1e6 * __import__('time').time()))}"
-    q = live.activity(stream, window="1 day").writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{folder(spark)}/streams/{name}").trigger(availableNow=True).start()
+    at = _at(spark, "activity")
+    q = live.activity(stream, window="1 day").writeStream.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{at}/table")).outputMode("complete").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name).select(n(F.col("start").cast("double")).alias("start_s"), n("mmsi").alias("mmsi"), "n", r(F.col("mean_sog"), 6).alias("mean_sog"))
+    return spark.read.parquet(f"{at}/table").select(n(F.col("start").cast("double")).alias("start_s"), n("mmsi").alias("mmsi"), "n", r(F.col("mean_sog"), 6).alias("mean_sog"))
 
 
 # ---- tiles
@@ -736,9 +735,7 @@ def median_scene(spark, d):
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '{\"thresholdEstimationValue\":' || CAST(value AS VARCHAR) || '}' AS alert FROM events WHERE value < 100")
 def alert_json(spark, d):
-    from ..sources.tables import alert
-
-    rows = alert(a.table(spark, d, "events").where("value < 100"), F.col("value"))
+    rows = tables.alert(a.table(spark, d, "events").where("value < 100"), F.col("value"))
     return rows.select("event_id", n(F.get_json_object("props", "$.k")).alias("k"), "alert")
 
 
@@ -760,6 +757,183 @@ def bbox_parse(spark, d):
     return spark.range(30).select("id", F.transform(strings.box_or_point(text), lambda v: F.round(v, 6)).alias("box"))
 
 
+# ---- filters, bags and columns of detections
+
+
+@query(with_tables("detections", "SELECT image_id, det_id FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY det_id) AS k FROM detections WHERE cls >= 0 AND cls < 3) WHERE k <= 100"))
+def class_range(spark, d):
+    return det.in_classes(a.detections(spark, d), 3, most=100).select("image_id", "det_id")
+
+
+def _outputs(spark, d) -> DataFrame:
+    """Raw detector outputs: centre, size, objectness and a score for each of three classes."""
+    k, c = F.col("det_id"), F.col("conf")
+    return a.detections(spark, d).select(
+        "image_id", "det_id", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"), c.alias("obj"),
+        F.array(*(((k * m % 101) / F.lit(100.0)) for m in (7, 13, 29))).alias("scores"),
+    )
+
+
+_SCORED = "outputs AS (SELECT *, [conf * ((det_id * 7 % 101) / 100.0::DOUBLE), conf * ((det_id * 13 % 101) / 100.0::DOUBLE), conf * ((det_id * 29 % 101) / 100.0::DOUBLE)] AS s FROM detections WHERE conf > 0.25::DOUBLE)"
+
+
+@query(with_tables("detections", f"""-- more
+{_SCORED}, b AS (SELECT *, list_max(s) AS best, list_position(s, list_max(s)) - 1 AS c FROM outputs)
+SELECT image_id, det_id, c::BIGINT AS cls, round(best, 6) AS conf, x1, y1, x2, y2 FROM b WHERE best > 0.25::DOUBLE AND c IN (0, 2)"""))
+def best_candidates(spark, d):
+    out = det.candidates(_outputs(spark, d), 0.25, [0, 2])
+    return out.select("image_id", "det_id", n("cls").alias("cls"), r(F.col("conf"), 6).alias("conf"), *bx.Box._fields)
+
+
+@query(with_tables("detections", f"""-- more
+{_SCORED}, b AS (SELECT image_id, det_id, unnest(s) AS conf, generate_subscripts(s, 1) - 1 AS cls FROM outputs)
+SELECT image_id, det_id, cls::BIGINT AS cls, round(conf, 6) AS conf FROM b WHERE conf > 0.25::DOUBLE"""))
+def all_candidates(spark, d):
+    out = det.candidates(_outputs(spark, d), 0.25, multi_label=True)
+    return out.select("image_id", "det_id", n("cls").alias("cls"), r(F.col("conf"), 6).alias("conf"))
+
+
+@query(with_tables("detections", "SELECT * FROM (SELECT 0::BIGINT AS source, image_id, det_id FROM detections WHERE cls < 2 UNION ALL SELECT 1, image_id, det_id FROM detections WHERE conf > 0.5::DOUBLE UNION ALL SELECT 2, image_id, det_id FROM detections)"))
+def pooled_predictions(spark, d):
+    rows = a.detections(spark, d).select("image_id", "det_id", "cls", "conf")
+    return det.pooled(rows.where("cls < 2"), rows.where("conf > 0.5D"), rows).select("source", "image_id", "det_id")
+
+
+@query(with_tables("facilities confirmed", _CENTRES + "SELECT coalesce(f.id, o.id) AS id, round(f.lon, 6) AS lon, o.id AS other FROM f FULL JOIN (SELECT id + 100 AS id FROM k) o ON o.id = f.id"))
+def joined_columns(spark, d):
+    f = pipe.centres(a.facilities(spark, d)).select("id", r(F.col("lon"), 6).alias("lon"))
+    k = pipe.centres(a.confirmed(spark, d)).select((F.col("id") + 100).alias("id"), (F.col("id") + 100).alias("other"))
+    return det.beside(f, k, "id").select("id", "lon", "other")
+
+
+@query(with_tables("detections", "SELECT image_id, list(det_id ORDER BY det_id DESC)[1]::BIGINT AS first, count(*)::BIGINT AS n FROM detections GROUP BY 1"))
+def reversed_detections(spark, d):
+    rows = det.reversed_order(a.detections(spark, d).select("image_id", "det_id"))
+    placed = rows.withColumn("k", F.row_number().over(Window.partitionBy("image_id").orderBy(F.col("det_id").desc())))
+    return placed.groupBy("image_id").agg(F.min_by("det_id", "k").alias("first"), F.count("*").alias("n"))
+
+
+@query(with_tables("pings", "SELECT DISTINCT mmsi, kind FROM pings"))
+def unique_ships(spark, d):
+    return lookup.unique(a.pings(spark, d), "mmsi", "kind")
+
+
+@query(with_tables("detections scene", """SELECT image_id AS image, x1 AS X, y1 AS Y, x2 - x1 AS W, y2 - y1 AS H, round(min_lon + dlon * ((x1 + x2) / 2), 8) AS Lon, round(max_lat + dlat * ((y1 + y2) / 2), 8) AS Lat FROM detections, scene WHERE image_id = scene_id"""))
+def ships_of(spark, d):
+    out = pipe.ships_of(a.detections(spark, d), a.scene(spark))
+    return out.select("image", "X", "Y", "W", "H", r(F.col("Lon"), 8).alias("Lon"), r(F.col("Lat"), 8).alias("Lat"))
+
+
+_TILED = """-- more
+raw AS (SELECT image_id % 3 AS image_id, image_id AS tile_id, det_id, x1, y1, x2 + 60 AS x2, y2 + 60 AS y2, conf, [conf * ((det_id * 7 % 101) / 100.0::DOUBLE), conf * ((det_id * 13 % 101) / 100.0::DOUBLE), conf * ((det_id * 29 % 101) / 100.0::DOUBLE)] AS s FROM detections WHERE conf > 0.25::DOUBLE),
+cand AS (SELECT image_id, tile_id, det_id, x1, y1, x2, y2, list_max(s) AS conf, list_position(s, list_max(s)) - 1 AS cls FROM raw),
+o AS (SELECT *, row_number() OVER (PARTITION BY tile_id, cls ORDER BY conf DESC, det_id) AS k FROM cand WHERE conf > 0.25::DOUBLE),
+beats AS (SELECT b.tile_id, b.cls, b.k, list(a.k) AS stronger FROM o a JOIN o b ON a.tile_id = b.tile_id AND a.cls = b.cls AND a.k < b.k AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2
+  WHERE (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1)) / ((a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) - (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1))) > 0.3::DOUBLE GROUP BY 1, 2, 3),
+walk AS (SELECT tile_id, cls, 1::BIGINT AS k, [1::BIGINT] AS kept FROM o WHERE k = 1
+  UNION ALL SELECT w.tile_id, w.cls, o.k, CASE WHEN coalesce(list_has_any(w.kept, s.stronger), false) THEN w.kept ELSE list_append(w.kept, o.k) END
+  FROM walk w JOIN o ON o.tile_id = w.tile_id AND o.cls = w.cls AND o.k = w.k + 1 LEFT JOIN beats s ON s.tile_id = o.tile_id AND s.cls = o.cls AND s.k = o.k),
+ends AS (SELECT tile_id, cls, unnest(arg_max(kept, k)) AS k FROM walk GROUP BY 1, 2),
+kept AS (SELECT o.* FROM o JOIN ends USING (tile_id, cls, k) QUALIFY row_number() OVER (PARTITION BY o.image_id, o.tile_id ORDER BY o.conf DESC, o.det_id) <= 300),
+placed AS (SELECT kept.image_id, kept.cls, kept.x1 + kept.tile_id * 10 AS x1, kept.y1 + 20 AS y1, kept.x2 + kept.tile_id * 10 AS x2, kept.y2 + 20 AS y2 FROM kept)
+SELECT image_id, round(max_lat + dlat * y2, 8) AS LatMin, round(min_lon + dlon * x1, 8) AS LonMin, round(max_lat + dlat * y1, 8) AS LatMax, round(min_lon + dlon * x2, 8) AS LonMax, ['buoy', 'farm', 'cage'][cls + 1] AS Class FROM placed, scene"""
+
+
+@query(with_tables("detections scene", _TILED).replace("WITH ", "WITH RECURSIVE ", 1))
+def facilities_of(spark, d):
+    """Raw outputs of tiles to facility boxes: candidates, suppression by tile and class, placing in the scene, degrees."""
+    raw = _outputs(spark, d).withColumns({"tile_id": F.col("image_id"), "x0": F.col("image_id") * 10.0, "y0": F.lit(20.0), "w": F.col("w") + 60, "h": F.col("h") + 60, "cx": F.col("cx") + 30, "cy": F.col("cy") + 30}).withColumn("image_id", F.col("image_id") % 3)
+    scenes = a.scene(spark).drop("scene_id").crossJoin(F.broadcast(spark.range(3).withColumnRenamed("id", "scene_id")))  # one scene, three names
+    out = pipe.facilities_of(raw, scenes, {0: "buoy", 1: "farm", 2: "cage"}, detector=config.Detector(conf=0.25))
+    return out.select("image_id", *(r(F.col(c), 8).alias(c) for c in ("LatMin", "LonMin", "LatMax", "LonMax")), "Class")
+
+
+# ---- sources and sinks: written to the shared folder and read back
+
+
+def _at(spark, name: str) -> str:
+    import uuid
+
+    from ..shared import folder
+
+    return f"{folder(spark)}/files/{name}-{uuid.uuid4().hex}"
+
+
+@query(with_tables("pings", "SELECT mmsi, epoch, lon, lat, sog, cog, name, kind, destination, dim_a, dim_b, dim_c, dim_d FROM pings"))
+def reports_csv(spark, d):
+    """Position reports out to CSV and in again, with the product's headers."""
+    date, time = strings.date_and_time(F.col("epoch"))
+    rows = a.pings(spark, d).select(
+        F.col("mmsi").alias("MMSI"), date.alias("Date"), time.alias("Time"), F.col("lon").alias("Lon"), F.col("lat").alias("Lat"), F.col("sog").alias("SOG"), F.col("cog").alias("COG"), F.col("name").alias("VesselName"),
+        F.col("kind").alias("VesselType"), *(F.col(f"dim_{c.lower()}").alias(f"Dim{c}") for c in "ABCD"), F.lit("ok").alias("Status"), F.col("destination").alias("ToPortof"),
+    )
+    tables.to_csv(rows, at := _at(spark, "reports"), one_file=False)
+    return tables.reports(spark, at).drop("seq", "status")
+
+
+@query(with_tables("facilities ships", "SELECT 'facility' AS kind, LatMin AS a, LonMin AS b, LatMax AS c, LonMax AS d FROM facilities UNION ALL SELECT 'ship', X, Y, Lon, Lat FROM ships"))
+def boxes_csv(spark, d):
+    """Facility boxes and ships out to CSV and in again; the ships' file calls its image imageName."""
+    tables.to_csv(a.facilities(spark, d).drop("id").withColumn("Class", F.lit("farm")), one := _at(spark, "facilities"))
+    tables.to_csv(a.ships(spark, d).drop("id").withColumn("imageName", F.lit("scene.tif")), two := _at(spark, "ships"))
+    four = lambda df, kind, *c: df.select(F.lit(kind).alias("kind"), *(F.col(x).cast("double").alias(y) for x, y in zip(c, "abcd", strict=True)))
+    return four(tables.facilities(spark, one).where("Class = 'farm'"), "facility", "LatMin", "LonMin", "LatMax", "LonMax").union(four(tables.ships(spark, two).where("image = 'scene.tif'"), "ship", "X", "Y", "Lon", "Lat"))
+
+
+@query("SELECT c_custkey::VARCHAR AS key, c_name AS name, c_acctbal::DOUBLE AS balance FROM customer")
+def csv_as_json(spark, d):
+    """A table out to CSV, that to JSON with all values as text, and in again."""
+    tables.to_csv(a.table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")), one := _at(spark, "customers"))
+    tables.csv_to_json(spark, one, two := _at(spark, "customers-json"))
+    raw = spark.read.json(two)
+    assert {kind for _, kind in raw.dtypes} == {"string"}
+    return raw.select("key", "name", F.col("balance").cast("double").alias("balance"))
+
+
+@query(with_tables("facilities", "SELECT id, round(0.5 * (LonMin + LonMax), 6) AS lon, round(0.5 * (LatMin + LatMax), 6) AS lat FROM facilities"))
+def results_json(spark, d):
+    tables.to_json(pipe.centres(a.facilities(spark, d)).select("id", r(F.col("lon"), 6).alias("lon"), r(F.col("lat"), 6).alias("lat")), at := _at(spark, "results"))
+    return spark.read.schema("id long, lon double, lat double").json(at)
+
+
+@query(with_tables("pixels", "SELECT scene_id::VARCHAR AS scene_id, row::INTEGER AS row, col::INTEGER AS col, vv::FLOAT::DOUBLE AS b1, vh::FLOAT::DOUBLE AS b2 FROM pixels WHERE vv IS NOT NULL"))
+def geotiff_pixels(spark, d):
+    """Two bands of each scene as the bytes of a GeoTIFF, in strips, and read again; places without a pixel have the no-data value."""
+    rows = a.pixels(spark, d).select(F.col("scene_id").cast("string").alias("scene_id"), "row", "col", "vv", "vh")
+    return geotiff.decoded(geotiff.images(rows, ["vv", "vh"]), bands=2).where("b1 is not null")
+
+
+@query(with_tables("detections", "SELECT 'i' || image_id || '.tif' AS image, x1::INTEGER AS x1, y1::INTEGER AS y1, x2::INTEGER AS x2, y2::INTEGER AS y2, cls FROM detections"))
+def label_text(spark, d):
+    """Label lines, a line an image, out to text and in again."""
+    box = F.concat_ws(",", *(F.col(c).cast("int") for c in (*bx.Box._fields, "cls")))
+    lines = a.detections(spark, d).groupBy("image_id").agg(F.concat_ws(" ", F.collect_list(box)).alias("boxes")).select(F.concat(F.lit("i"), "image_id", F.lit(".tif "), "boxes").alias("value"))
+    lines.write.text(at := _at(spark, "labels"))
+    return tables.label_lines(spark, at)
+
+
+@query("SELECT 'R' || n_nationkey AS roi_id, '2024010' || (n_nationkey % 9 + 1) || '000000' AS timestamp FROM nation UNION ALL SELECT 'Unknown', 'Unknown'")
+def region_files(spark, d):
+    """Region files, one a region, and one that doesn't parse."""
+    at = _at(spark, "regions")
+    k = F.col("n_nationkey")
+    named = a.table(spark, d, "nation").select(k.alias("part"), F.to_json(F.struct(F.concat(F.lit("R"), k).alias("ROI_ID"), F.concat(F.lit("2024010"), k % 9 + 1, F.lit("000000")).alias("Timestamp"))).alias("value"))
+    broken = spark.range(1).select(F.lit(-1).alias("part"), F.lit("{not json").alias("value"))
+    named.union(broken).write.partitionBy("part").text(at)
+    return tables.roi(spark, f"{at}/*").drop("file")
+
+
+@query(with_tables("pixels", "SELECT scene_id, count(*) AS n, round(sum(vv), 4) AS total FROM pixels GROUP BY 1 UNION ALL SELECT -1, 12, 480.0::DOUBLE"))
+def saved_product(spark, d):
+    """A product's tables saved and loaded: pixels, and the nodes of an axis cut to the image and one more on either side."""
+    nodes = spark.range(100).select(F.lit(0).cast("long").alias("scene_id"), (F.floor(F.col("id") / 10) * 40).alias("node_row"), (F.col("id") % 10 * 40).alias("node_col"))
+    products.save(at := _at(spark, "product"), pixels=a.pixels(spark, d), nodes=products.cropped_nodes(nodes, 60, 100))
+    got = products.load(spark, at, "pixels", "nodes")
+    n_total = got["pixels"].groupBy("scene_id").agg(F.count("*").alias("n"), r(F.sum("vv")).alias("total"))
+    grid = got["nodes"].groupBy(F.lit(-1).cast("long").alias("scene_id")).agg(F.count("*").alias("n"), F.sum(F.col("node_row")).cast("double").alias("total"))
+    return n_total.union(grid)
+
+
 # ---- kernels and whole flows
 
 _NMS = """-- more

@@ -13,6 +13,7 @@ from ..functions.boxes import Box
 from ..operators import detections as det
 from ..operators import proximity, raster, tracks
 from ..operators import zones as zone_ops
+from ..shared import written
 
 
 def centres(boxes: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def change_mask(pixels: DataFrame, change: config.Change = config.DEFAULTS.chang
     value = rad.log_ratio((F.col("vh"), F.col("vv")), (F.col("vh2"), F.col("vv2")))
     scored = pixels.select("scene_id", "row", "col", value.alias("statistic"))
     scored = scored.withColumn("p", statistics.chi2_cdf(F.col("statistic"), change.df)).join(threshold, "scene_id", "left")
-    scored = scored.withColumn("flag", F.coalesce(F.col("p") < F.col("threshold"), F.lit(False))).drop("threshold")
+    scored = written(scored.withColumn("flag", F.coalesce(F.col("p") < F.col("threshold"), F.lit(False))).drop("threshold"), "scored")  # read twice
     blobs = raster.large_blobs(scored.where("flag"), change.least_blob, tile).withColumn("_large", F.lit(0))
     return scored.join(blobs, ["scene_id", "row", "col"], "left").withColumn("written_mask", F.coalesce("_large", F.lit(1))).drop("_large")
 

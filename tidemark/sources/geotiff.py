@@ -184,6 +184,11 @@ def scenes(spark: SparkSession, path, pattern: str = "*.tif") -> DataFrame:
 
 def pixels(spark: SparkSession, path, bands: int = 1, pattern: str = "*.tif") -> DataFrame:
     """(scene_id, row, col, b1, ...): a row for each pixel; NaN and the file's no-data value are NULL.  A file with fewer bands has NULL for the rest."""
+    return decoded(_files(spark, path, pattern), bands)
+
+
+def decoded(files: DataFrame, bands: int = 1) -> DataFrame:
+    """pixels() of a table of files (scene_id: string, content: the bytes of a GeoTIFF)."""
 
     def run(batches):
         for pdf in batches:
@@ -197,7 +202,7 @@ def pixels(spark: SparkSession, path, bands: int = 1, pattern: str = "*.tif") ->
                         out[f"b{k + 1}"] = np.where(v == t.nodata, np.nan, v) if t.nodata is not None else v
                     yield pd.DataFrame(out)
 
-    found = _files(spark, path, pattern).mapInPandas(run, "scene_id string, row int, col int, " + ", ".join(f"b{k + 1} double" for k in range(bands)))
+    found = files.select("scene_id", "content").mapInPandas(run, "scene_id string, row int, col int, " + ", ".join(f"b{k + 1} double" for k in range(bands)))
     return found.select("scene_id", "row", "col", *(F.when(~F.isnan(f"b{k + 1}"), F.col(f"b{k + 1}")).alias(f"b{k + 1}") for k in range(bands)))
 
 
