@@ -165,7 +165,7 @@ CANDIDATE_WORDS = 2
 #: Candidates differ in this many bits of a fingerprint at most (texts of five-word Jaccard 0.8 have some 5, hardly ever over 13).
 CANDIDATE_BITS = 16
 #: An anchor with more members than this has each compared with its first and its most central one instead of with each other.
-PAIRED = 32
+PAIRED = 4
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
