@@ -47,12 +47,13 @@ def test_equals_brute_force(spark, docs, texts, data, block_mb):
     assert sum(w[4] for w in want)
 
 
-def test_edges(spark, edge, empty):
+@pytest.mark.parametrize("block_mb", [32, 0.0003])
+def test_edges(spark, edge, empty, block_mb):
     bench = spark.createDataFrame([(*i, "x", 1) for i in ITEMS], "item_id long, text string, window string, doc_id int")
     rows = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()]
-    assert got(wm.contamination(edge, bench)) == brute(rows, ITEMS)
-    assert wm.contamination(empty, bench).count() == 0
-    none = wm.contamination(edge, bench.limit(0))
+    assert got(wm.contamination(edge, bench, block_mb=block_mb)) == brute(rows, ITEMS)
+    assert wm.contamination(empty, bench, block_mb=block_mb).count() == 0
+    none = wm.contamination(edge, bench.limit(0), block_mb=block_mb)
     assert none.count() == len(rows) and none.where("n_hit > 0 or contaminated").count() == 0
 
 

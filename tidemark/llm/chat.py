@@ -122,6 +122,7 @@ def chains(conversations: DataFrame) -> DataFrame:
 
 
 def op3_reply_trees(spark, sf_dir: str) -> DataFrame:
+    """All conversations and one with control strings in its texts, formatted, read back and digested."""
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     hard = "\\### Assistant: </turn> ok"
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))

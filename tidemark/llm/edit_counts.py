@@ -295,4 +295,5 @@ def edited(trees: DataFrame, edits: DataFrame, ranks: str | None = None, pattern
 
 
 def op5_edit_aware_counts(spark, sf_dir: str) -> DataFrame:
+    """counted() of all documents before and after their redactions."""
     return counted(spark.read.parquet(f"{sf_dir}/documents.parquet"))

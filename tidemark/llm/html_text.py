@@ -277,4 +277,5 @@ def extracted(pages: DataFrame) -> DataFrame:
 
 
 def op10_tree_scoring(spark, sf_dir: str) -> DataFrame:
+    """extracted() of all pages."""
     return extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))

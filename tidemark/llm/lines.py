@@ -108,6 +108,7 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def op2_line_spread(spark, sf_dir: str) -> DataFrame:
+    """dedup() of all documents, the texts as digests."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return dedup(docs, digest=True).withColumnRenamed("text", "kept_sha256")
 

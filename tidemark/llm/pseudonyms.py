@@ -333,5 +333,6 @@ def pseudonymised(docs: DataFrame, key: bytes = TRIAL_KEY, back: bool = False, d
 
 
 def op4_feistel_pseudonyms(spark, sf_dir: str) -> DataFrame:
+    """pseudonymised() of all documents under the trial key."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return pseudonymised(docs)

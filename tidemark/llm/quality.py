@@ -240,5 +240,6 @@ def keep_good(docs: DataFrame, model: Trees, at_least: float = 0.5) -> DataFrame
 
 
 def op1_boosted_trees(spark, sf_dir: str) -> DataFrame:
+    """judged() of all documents by trees fitted on the labelled ones."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return judged(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

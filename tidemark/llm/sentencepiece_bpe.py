@@ -390,5 +390,6 @@ def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def op7_sentencepiece_rounds(spark, sf_dir: str) -> DataFrame:
+    """encoded() of all documents, ids and decoded texts as digests."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return encoded(docs, digest=True).select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("text").alias("decoded_sha256"))

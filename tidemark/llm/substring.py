@@ -336,5 +336,6 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS, d
 
 
 def op8_seed_extend(spark, sf_dir: str) -> DataFrame:
+    """dedup() of all documents, the kept words as a digest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return dedup(docs, digest=True).select("doc_id", "n_words", "n_removed", F.col("text").alias("kept_sha256"))

@@ -287,6 +287,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
 
 
 def op6_wu_manber(spark, sf_dir: str) -> DataFrame:
+    """contamination() of all documents by all benchmark items, the item ids as a digest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
