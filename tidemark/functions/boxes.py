@@ -118,6 +118,7 @@ def cover(a: Box, b: Box) -> Box:
 
 
 def giou(a: Box, b: Box) -> Column:
+    """IoU less the share of the common bounding box that neither box covers."""
     inter = intersection(a, b)
     union, c = a.area + b.area - inter, cover(a, b).area
     return F.try_divide(inter, union) - F.try_divide(c - union, c)
@@ -134,6 +135,7 @@ def _diagonal(a: Box, b: Box) -> Column:
 
 
 def diou(a: Box, b: Box) -> Column:
+    """IoU less the squared gap of the centres over the squared diagonal of the common bounding box."""
     return iou(a, b) - F.try_divide(_centre_gap(a, b), _diagonal(a, b))
 
 

@@ -145,6 +145,7 @@ def outdone(detections: DataFrame, iou: float = D.iou) -> DataFrame:
 
 
 def class_counts(detections: DataFrame) -> DataFrame:
+    """(cls, n): boxes of each class."""
     return detections.groupBy("cls").agg(F.count("*").alias("n"))
 
 

@@ -51,8 +51,9 @@ def quantiles(pixels: DataFrame, value: str, shares: list[float], exact: bool =
     rows = pixels.select(*keys, rad.known(F.col(value)).cast("double").alias("v"))
     near = [min(max(s + d * 3 / BRACKET, 0.0), 1.0) for s in shares for d in (-1, 1)]
     sketch = rows.groupBy(*keys).agg(F.percentile_approx("v", near, BRACKET).alias("near"), F.min("v").alias("least"), F.max("v").alias("most"), F.count("v").alias("n"))
-    low = lambda k: F.when(F.lit(near[2 * k] == 0.0), F.col("least")).otherwise(F.col("near")[2 * k])
-    high = lambda k: F.when(F.lit(near[2 * k + 1] == 1.0), F.col("most")).otherwise(F.col("near")[2 * k + 1])
+    small = F.col("n") < 2 * BRACKET  # a bracket has to hold the two values that a quantile lies between
+    low = lambda k: F.when(small | F.lit(near[2 * k] == 0.0), F.col("least")).otherwise(F.col("near")[2 * k])
+    high = lambda k: F.when(small | F.lit(near[2 * k + 1] == 1.0), F.col("most")).otherwise(F.col("near")[2 * k + 1])
     bounds = sketch.select(*keys, "n", F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(s)).alias("share"), low(k).alias("low"), high(k).alias("high")) for k, s in enumerate(shares))).alias("bounds"))
     bounds = written(bounds, "bounds")
     known = rows.where("v is not null")

@@ -54,10 +54,12 @@ def as_reports(raw: DataFrame) -> DataFrame:
 
 
 def facilities(spark: SparkSession, path) -> DataFrame:
+    """Facility boxes: LatMin, LonMin, LatMax, LonMax, Class; columns that a file lacks are NULL."""
     return _csv(spark, path, _BOXES)
 
 
 def ships(spark: SparkSession, path) -> DataFrame:
+    """Detected ships: image, X, Y, W, H, Lon, Lat, by whichever of its names the image column goes."""
     return _csv(spark, path, _SHIPS)
 
 
