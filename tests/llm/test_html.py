@@ -22,6 +22,7 @@ PAGES = {
     f"<div class='has-sidebar'><h1>Head</h1><p>{P1}</p><div class='sidebar'><p>{P2}</p></div></div>": ["Head", P1],
     f"<div class='search-results-page'><p>{P1}</p>" + f"<p>{P2}</p>" * 9 + f"</div><div class='share-bar'>Tell a friend, or two.</div><div class='intro'><p>{P1}</p></div>": [P1] + [P2] * 9,
     f"<div class='comments'><p>{P2}</p></div><div hidden><p>{P1}</p></div>": [],
+    f"<nav>{MENU}</nav><div class='cookie-notice'><p>{P2}</p></div><div class='comment-list'><p>{P1}</p></div><div id='site-footer'><p>{P1}</p></div>": [],
     f"<i><div><p>{P1}</i></p></div>{P2}": [P1, P2],
     f"<article><ul><li><p>{P1}<ul><li>in</ul></li><li><p>{P2}</p></ul></article>": [P1, "in", P2],
     "<p>Just one.": ["Just one."],

@@ -59,8 +59,10 @@ class _Node:
         self.link = tag == "a" or (parent is not None and parent.link)
 
 
-#: How names count against an element: not at all, by an ambiguous word or another one as part of a name, by an ambiguous word as the
-#: whole name, or surely (another word as the whole name, or hidden).
+#: Words by which a name tells what an element has beside it, not what it is ("has-sidebar", "comments-open").
+_BESIDE = frozenset("enabled has layout no open with without".split())
+#: How names count against an element: not at all, by an ambiguous word as part of a name, by another one in a name of what is beside it, by an
+#: ambiguous word as the whole name, or surely (another word, or hidden).
 _NO, _MAYBE, _PART, _WHOLE, _SURELY = range(5)
 
 
@@ -77,9 +79,13 @@ def _marks(tag: str, more: str) -> tuple[int, bool]:
             if tag in _HEADING or tag != "header" and not _LIKELY.isdisjoint(words):
                 words.discard("header")  # of an article, not of the page
             words &= _UNLIKELY
-            whole = {n.lower() for n in _NAME.findall(value)} if words else ()
-            for w in words:
-                unlikely = max(unlikely, (_WHOLE if w in _AMBIGUOUS else _SURELY) if w in whole else _MAYBE if w in _AMBIGUOUS else _PART)
+            for name_ in _NAME.findall(value.lower()) if words else ():
+                parts = set(_WORD.findall(name_))
+                for w in parts & words:
+                    if w in _AMBIGUOUS:
+                        unlikely = max(unlikely, _WHOLE if w == name_ else _MAYBE)
+                    else:
+                        unlikely = max(unlikely, _SURELY if parts.isdisjoint(_BESIDE) else _PART)
     return _NO if tag in ("html", "body", "article", "main") else unlikely, likely
 
 
