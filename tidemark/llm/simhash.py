@@ -118,10 +118,15 @@ def classes(prints: DataFrame) -> DataFrame:
     return prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of a small table over as many tasks as a shuffle has, before each becomes dozens."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def links(distinct: DataFrame, most_compared: int = MOST_COMPARED) -> DataFrame:
     """(a, b): edges between representatives whose components are those of all pairs within two bits."""
     low, high = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.call_function("shiftrightunsigned", F.col("fp"), F.lit(32))
-    dealt = distinct.select("fp", "rep", F.concat(_anchors(0, low), _anchors(1, high)).alias("at")).select("fp", "rep", F.inline("at"))
+    dealt = written(_spread(distinct).select("fp", "rep", F.inline(F.concat(_anchors(0, low), _anchors(1, high)))), "dealt")
     size = dealt.groupBy("key").agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).where("homes > 0 and n > 1")
     size = size.select("key", (F.col("n") * F.col("homes") > most_compared).alias("hot"))
     at = written(dealt.join(size, "key"), "anchors")
@@ -209,7 +214,7 @@ def candidates(bodies: DataFrame, most_paired: int = PAIRED) -> DataFrame:
     """
     low, high = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)), lambda c: F.call_function("shiftrightunsigned", F.col(c), F.lit(32))
     places = F.concat(_anchors(0, low("fa")), _anchors(1, high("fa")), _anchors(2, low("fb")), _anchors(3, high("fb")))
-    dealt = written(bodies.select("body", "fa", F.inline(places)).select("key", "body", "fa"), "dealt")
+    dealt = written(_spread(bodies).select("body", "fa", F.inline(places)).select("key", "body", "fa"), "dealt")
     size = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("body", "fa")).alias("first")).where("n > 1")
     met = written(dealt.join(size, "key"), "met")
     near = lambda c, d: F.bit_count(F.col(c).bitwiseXOR(F.col(d))) <= CANDIDATE_BITS
@@ -264,5 +269,6 @@ def keep_one_similar(docs: DataFrame, **options) -> DataFrame:
 
 
 def op9_simhash_anchors(spark, sf_dir: str) -> DataFrame:
+    """near_duplicates() of all documents: fingerprints in hex and component ids."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
