@@ -3,16 +3,12 @@
 Each distinct line (by 64-bit hash) has a HyperLogLog sketch of the sites it stands on; sketches merge by aggregation,
 first within a task, so a line on every page costs a row a task.  Lines whose estimate is near the threshold
 get an exact distinct count; only then is a line called boilerplate and taken out of all documents but the one with the
-smallest doc_id, so that no text vanishes from the corpus.
+smallest doc_id, so that no text vanishes from the corpus.  All of it runs in the JVM.
 """
 
 from __future__ import annotations
 
-import hashlib
-
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import written
@@ -50,15 +46,9 @@ def _hits(docs: DataFrame, min_sites: int) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
 
 
-def _without(text: str, gone: set[int]) -> tuple[str, int]:
-    lines = text.split("\n")
-    kept = [x for x in lines if not (t := x.strip(" ")) or _signed(t) not in gone]
-    return "\n".join(kept), len(lines) - len(kept)
-
-
-def _signed(line: str) -> int:
-    h = xxhash.xxh64_intdigest(line.encode(), 42)
-    return h - (1 << 64) if h >> 63 else h
+def _kept(text: Column, gone: Column) -> Column:
+    """The lines of a text but those whose hash is in `gone`; all where that is null."""
+    return F.filter(F.split(text, "\n"), lambda x: (F.trim(x) == "") | ~F.coalesce(F.array_contains(gone, F.xxhash64(F.trim(x))), F.lit(False)))
 
 
 def dedup(docs: DataFrame, min_sites: int = MIN_SITES, digest: bool = False) -> DataFrame:
@@ -68,19 +58,11 @@ def dedup(docs: DataFrame, min_sites: int = MIN_SITES, digest: bool = False) ->
     empty result; rows with a null doc_id count for the spread and stay whole; rows that share a doc_id are one document.
     With digest, text is the SHA-256 of the text in hex.
     """
-
-    def run(batches):
-        for batch in batches:
-            for part in tb.slices(batch, "text"):
-                texts, gone = part.column("text").to_pylist(), part.column("_gone").to_pylist()
-                out = [_without(t, set(g)) if t is not None and g else (t or "", 0) for t, g in zip(texts, gone, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([0 if t is None else t.count("\n") + 1 for t in texts], pa.int64()), pa.array([n for _, n in out], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() if digest else t for t, _ in out], pa.string())],
-                    ["doc_id", "n_lines", "n_removed", "text"],
-                )
-
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return base.join(_hits(docs, min_sites), "doc_id", "left").mapInArrow(run, "doc_id long, n_lines long, n_removed long, text string")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_hits(docs, min_sites), "doc_id", "left")
+    rows = base.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"), F.when(F.col("text").isNotNull(), _kept(F.col("text"), F.col("_gone"))).alias("kept"))
+    text = F.coalesce(F.array_join("kept", "\n"), F.lit(""))
+    n_lines = F.greatest("n_lines", F.lit(0))  # the size of null is -1 by some settings
+    return rows.select("doc_id", n_lines.alias("n_lines"), F.when(F.col("kept").isNull(), 0).otherwise(n_lines - F.size("kept")).cast("long").alias("n_removed"), (F.sha2(text.cast("binary"), 256) if digest else text).alias("text"))
 
 
 def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -90,21 +72,14 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """
     names = docs.columns
     key, gone = tb.fresh("_doc", names), tb.fresh("_gone", names)
-
-    def run(batches):
-        for batch in batches:
-            for part in tb.slices(batch, "text"):
-                texts, cuts = part.column("text").to_pylist(), part.column(gone).to_pylist()
-                out = [(_without(t, set(g))[0], True) if t is not None and g else (t, False) for t, g in zip(texts, cuts, strict=True)]
-                stay = [not cut or bool(t.strip()) for t, cut in out]
-                columns = {c: part.column(c) for c in names}
-                columns["text"] = pa.array([t for t, _ in out], pa.string())
-                if "n_chars" in columns:
-                    columns["n_chars"] = pa.array([len(t) if cut else n for (t, cut), n in zip(out, part.column("n_chars").to_pylist(), strict=True)], part.column("n_chars").type)
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(pa.array(stay, pa.bool_()))
-
     hits = _hits(docs, min_sites).select(F.col("doc_id").alias(key), F.col("_gone").alias(gone))
-    return docs.join(hits, docs.doc_id == hits[key], "left").drop(key).mapInArrow(run, docs.schema)
+    rows = docs.join(hits, docs.doc_id == hits[key], "left").drop(key)
+    cut = F.col(gone).isNotNull() & F.col("text").isNotNull()
+    rows = rows.withColumn("text", F.when(cut, F.array_join(_kept(F.col("text"), F.col(gone)), "\n")).otherwise(F.col("text")))
+    rows = rows.where(~cut | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in names:
+        rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return rows.select(names)
 
 
 def op2_line_spread(spark, sf_dir: str) -> DataFrame:
