@@ -35,7 +35,7 @@ _PATTERN = re.compile(
     r"""|(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./-][0-9]{2}[./-][0-9]{4})(?![0-9]|[./-][0-9]))"""
     r"""|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"""
     r"""|(?P<phone>(?<![0-9+(])(?:\+1[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]))"""
-    r"""|(?P<world>(?<![0-9+])\+[1-9](?:[ ()./-]{0,3}[0-9]){6,}(?![0-9]))"""
+    r"""|(?P<world>(?<![0-9+])\+[1-9](?:[ ()./-]{0,3}[0-9]){6,14}(?![0-9]))"""
     r"""|(?P<card>(?<![0-9])(?:[0-9][ -]?){12,18}[0-9](?![0-9]))"""
 )
 _HINT = re.compile(r"[0-9@]|AKIA|ASIA")
