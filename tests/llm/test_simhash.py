@@ -165,6 +165,37 @@ def test_many_near_copies_of_one_text(spark, paired):
     assert sum(got[1000 + k] == 1000 for k in range(150)) >= 140
 
 
+@pytest.mark.parametrize("paired", [sh.PAIRED, 1])
+def test_every_similar_pair_is_linked(spark, paired):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    edited = lambda words, places: [word() if k in places else w for k, w in enumerate(words)]
+    texts = []
+    for _ in range(60):  # pairs at 0.815, hardly any two of which share all anchors
+        base = [word() for _ in range(200)]
+        texts += [base, edited(base, {30, 75, 120, 165})]
+    long = [word() for _ in range(600)]
+    texts += [long[k : k + 200] for k in range(0, 400, 20)]  # a chain, each window similar to the next one only
+    base = [word() for _ in range(200)]
+    for _ in range(25):  # a crowd of texts that are unlike each other, each with a partner
+        other = edited(base, set(rng.sample(range(200), 12)))
+        texts += [other, edited(other, {rng.randrange(200), rng.randrange(200), rng.randrange(200)})]
+    texts += [[word() for _ in range(n)] for n in (0, 1, 2, 5, 6, 9)] + [long[:4], long[:4], long[:5], long[:9]]
+    rows = [(int(i), " ".join(t)) for i, t in zip(rng.sample(range(1000), len(texts)), texts, strict=True)]
+    want, pairs = jaccard_groups(rows)
+    got = {r.doc_id: r.component for r in sh.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), most_paired=paired).collect()}
+    assert got == want and len(pairs) > 100
+
+
+def test_rest_alone_finds_all_similar_texts(spark, monkeypatch):
+    monkeypatch.setattr(sh, "candidates", lambda bodies, most_paired: bodies.select(F.col("body").alias("x"), F.col("body").alias("y")).limit(0))
+    monkeypatch.setattr(sh, "_centred", lambda apart, least: apart.select(F.col("body").alias("x"), F.col("body").alias("y")).limit(0))
+    monkeypatch.setattr(sh._centred, "__name__", "centred")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want, _ = jaccard_groups([(r.doc_id, r.text) for r in docs.collect()])
+    assert {r.doc_id: r.component for r in sh.similar(docs).collect()} == want
+
+
 def test_similar_on_odd_rows(edge, empty):
     rows = [r for r in edge.select("doc_id", "text").collect() if r.doc_id is not None]
     want, _ = jaccard_groups([(r.doc_id, r.text) for r in rows])

@@ -169,48 +169,100 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 CANDIDATE_WORDS = 2
 #: Candidates differ in this many bits of a fingerprint at most (texts of five-word Jaccard 0.8 have some 5, hardly ever over 13).
 CANDIDATE_BITS = 16
-#: An anchor with more members than this has each compared with its first and its most central one instead of with each other.
+#: An anchor with more members than this has each compared with its first and its most central one instead of with each other;
+#: what these leave is found by rest().
 PAIRED = 4
+#: Similar texts share the first of their runs in any one order of all runs: this share of their runs, looked at beyond those that may differ.
+FIRST_SHARE = 0.1
 
 
-def _bodies(docs: DataFrame) -> DataFrame:
-    """(doc_id, body, fa, fb): the hash of each text's words, and two fingerprints by other hashes of its runs."""
+def _common(n, least: float):
+    """Runs that texts with n of them share at least with a similar text."""
+    return np.ceil(least * n - 1e-9).astype(np.int64)
+
+
+def _shared_firsts(n, least: float):
+    return np.minimum(np.maximum(np.ceil(FIRST_SHARE * n).astype(np.int64), 1), _common(n, least))
+
+
+def _sets(words, shingle: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(the hash of each text's words, the sorted distinct hashes of its runs, these texts): of those that have words."""
+    data, starts, ends, first = words
+    h, runs, has = _runs(words, shingle)
+    if not len(has):
+        return np.zeros(0, np.int64), [], has
+    body = tb.xxh64(data, starts[first[has]], ends[first[has + 1] - 1])
+    return body.view(np.int64), [np.unique(x) for x in np.split(h.view(np.int64), np.cumsum(runs)[:-1])], has
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64()))
+
+
+def _bodies(docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(doc_id, body, fa, fb, need, firsts): the hash of each text's words, and two fingerprints by other hashes of its runs.
+
+    firsts are the runs with the smallest hashes: a similar text has `need` of them at least among its own firsts.  They are given
+    with the first text of some words that a task meets, and are empty with the others.
+    """
 
     def run(batches):
+        met = set()
         for batch in batches:
             for part in tb.slices(batch, "text"):
                 words = _spoken(part.column("text"))
-                data, starts, ends, first = words
-                body = np.zeros(part.num_rows, np.uint64)
-                has = np.flatnonzero(np.diff(first))
-                body[has] = tb.xxh64(data, starts[first[has]], ends[first[has + 1] - 1])
+                body, need, firsts = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows, np.int64), [np.zeros(0, np.int64)] * part.num_rows
+                some, sets, has = _sets(words, shingle)
+                body[has] = some
+                n = np.array([len(x) for x in sets], np.int64)
+                need[has] = _shared_firsts(_common(n, least), least)
+                ends = n - _common(n, least) + _shared_firsts(n, least)
+                for k, b, x, end in zip(has.tolist(), some.tolist(), sets, ends.tolist(), strict=True):
+                    if b not in met:
+                        met.add(b)
+                        firsts[k] = x[:end]
                 fa, fb = (_majority(*_runs(words, CANDIDATE_WORDS, seed), part.num_rows) for seed in (42, 43))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(pa.array(x.view(np.int64)) for x in (body, fa, fb))], ["doc_id", "body", "fa", "fb"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(pa.array(x.view(np.int64)) for x in (body, fa, fb, need)), _lists(firsts)], ["doc_id", "body", "fa", "fb", "need", "firsts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, body long, fa long, fb long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, body long, fa long, fb long, need long, firsts array<long>")
 
 
 def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
-    """(body, runs): the distinct hashes of the runs of each text."""
+    """(body, runs): the distinct hashes of the runs of each text that has words."""
 
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
-                words = _spoken(part.column("text"))
-                data, starts, ends, first = words
-                h, runs, has = _runs(words, shingle)
-                body = tb.xxh64(data, starts[first[has]], ends[first[has + 1] - 1])
-                cut = np.cumsum(runs)[:-1] if len(runs) else []
-                yield pa.RecordBatch.from_arrays([pa.array(body.view(np.int64)), pa.array([np.unique(x) for x in np.split(h.view(np.int64), cut)] if len(runs) else [], pa.list_(pa.int64()))], ["body", "runs"])
+                body, sets, _ = _sets(_spoken(part.column("text")), shingle)
+                yield pa.RecordBatch.from_arrays([pa.array(body), _lists(sets)], ["body", "runs"])
 
     return docs.select("text").mapInArrow(run, "body long, runs array<long>")
 
 
+def _matchable(docs: DataFrame, prints: DataFrame, classes_: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(body, n, runs, firsts) of the texts that may have a similar one; all others have too many runs of their own.
+
+    n is the number of a text's runs; runs are those that other such texts have too, the rarest first; firsts are the first of
+    these, of which similar texts have one in common.
+    """
+    sent = prints.select("body", "need", F.explode("firsts").alias("run"))
+    again = sent.groupBy("run").agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a != b").select("run")
+    shared = sent.join(again, "run", "left_semi").distinct().groupBy("body", "need").agg(F.count("*").alias("n")).where("n >= need")
+    asked = written(classes_.join(shared, "body", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "asked")
+    runs = written(_shingles(docs.join(asked, "doc_id", "left_semi"), shingle).groupBy("body").agg(F.first("runs").alias("runs")), "runs")
+    each = runs.select("body", F.size("runs").alias("n"), F.explode("runs").alias("run"))
+    often = each.groupBy("run").agg(F.count("*").alias("texts")).where("texts > 1")
+    kept = each.join(often, "run").groupBy("body", "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("texts", "run"))), lambda x: x["run"]).alias("runs"))
+    spare = F.size("runs") - F.ceil(least * F.col("n") - 1e-9).cast("int")
+    return written(kept.where(spare >= 0).select("body", "n", "runs", F.slice("runs", F.lit(1), spare + 1).alias("firsts")), "matchable")
+
+
 def candidates(bodies: DataFrame, most_paired: int = PAIRED) -> DataFrame:
     """(x, y): pairs of bodies (body, fa, fb) that share an anchor on a half of a fingerprint and differ in few bits of the first.
 
     At an anchor with few members all are paired; at a crowded one each meets the first member and the one nearest to what most
-    fingerprints have, so a group of copies of one text meets that text.
+    fingerprints have, so a group of copies of one text meets that text.  rest() has the pairs that this leaves out.
     """
     low, high = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)), lambda c: F.call_function("shiftrightunsigned", F.col(c), F.lit(32))
     places = F.concat(_anchors(0, low("fa")), _anchors(1, high("fa")), _anchors(2, low("fb")), _anchors(3, high("fb")))
@@ -233,30 +285,70 @@ def candidates(bodies: DataFrame, most_paired: int = PAIRED) -> DataFrame:
     return every.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
+def _apart(matchable: DataFrame, sets: DataFrame) -> DataFrame:
+    """(body, set, run, n, own, left): a row for each text and each of its firsts that texts of another set (body, set) have among theirs.
+
+    own is the share of a text's runs that only it has, left the number of shared runs from this one on.
+    """
+    k = F.size("runs")
+    at = matchable.join(sets, "body").select("body", "set", "n", (1 - k / F.col("n")).alias("own"), k.alias("k"), F.posexplode("firsts").alias("place", "run"))
+    at = written(at.select("body", "set", "run", "n", "own", (F.col("k") - F.col("place")).alias("left")), "firsts")
+    apart = at.groupBy("run").agg(F.min("set").alias("a"), F.max("set").alias("b")).where("a != b").select("run")
+    return written(at.join(apart, "run", "left_semi"), "apart")
+
+
+def _enough(least: float) -> Column:
+    """Whether the runs from the first shared one on can do, for members x and y."""
+    return (F.col("x.set") != F.col("y.set")) & ((1 + least) * F.least("x.left", "y.left") >= least * (F.col("x.n") + F.col("y.n")) - 1e-6)
+
+
+def _centred(apart: DataFrame, least: float) -> DataFrame:
+    """(x, y): each text with the text of the fewest runs of its own that shares a run."""
+    centre = apart.groupBy("run").agg(F.min(F.struct("own", "body", "set", "n", "left")).alias("y"))
+    return apart.alias("x").join(centre, "run").where(_enough(least)).select(F.least("x.body", "y.body").alias("x"), F.greatest("x.body", "y.body").alias("y")).distinct()
+
+
+def rest(apart: DataFrame, least: float) -> DataFrame:
+    """(x, y): pairs of texts of different sets, with all that are similar among them.
+
+    Similar texts share one of their firsts, and the first one that they share leaves enough runs behind it in both.
+    """
+    met = apart.alias("x").join(apart.alias("y"), (F.col("x.run") == F.col("y.run")) & (F.col("x.body") < F.col("y.body")) & _enough(least))
+    return met.select(F.col("x.body").alias("x"), F.col("y.body").alias("y")).distinct()
+
+
+def _alike(pairs: DataFrame, matchable: DataFrame, least: float) -> DataFrame:
+    """(a, b): the pairs whose sets of runs have the Jaccard similarity."""
+    of = lambda c: matchable.select(F.col("body").alias(c), F.col("n").alias(f"n_{c}"), F.col("runs").alias(f"runs_{c}"))
+    common = F.size(F.array_intersect("runs_x", "runs_y"))
+    edges = pairs.join(of("x"), "x").join(of("y"), "y").select(F.col("x").alias("a"), F.col("y").alias("b"), common.alias("n"), (F.col("n_x") + F.col("n_y") - common).alias("of"))
+    return edges.where(F.col("n") >= least * F.col("of")).select("a", "b")
+
+
 def similar(docs: DataFrame, shingle: int = 5, least: float = 0.8, most_paired: int = PAIRED) -> DataFrame:
     """(doc_id, component): component is the smallest doc_id linked through texts whose sets of `shingle`-word runs have a Jaccard similarity of `least` or more.
 
-    Fingerprints and anchors only find candidates; each is compared by its whole set of runs, so no unlike texts are linked, and of
-    the similar ones those are missed that share no anchor on any of four halves (see the README for the measured share).  Texts of
+    Exact.  Texts that have too many runs of their own for any partner are set aside; fingerprints and anchors link most of the others,
+    texts meet the central one of those that share a rare run, and rest() finds every similar pair that is then in different sets.  Each pair is compared by its whole sets of runs.  Texts of
     the same words are one class before that; null, empty and white texts are one class too.  Rows with a null doc_id
     are left out; repeated doc_ids give repeated rows; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    prints = written(_bodies(docs), "bodies")
+    prints = written(_bodies(docs, shingle, least), "bodies")
     classes_ = written(prints.groupBy("body").agg(F.min("doc_id").alias("rep"), F.min("fa").alias("fa"), F.min("fb").alias("fb")), "classes")
-    pairs = written(candidates(classes_, most_paired), "pairs")
-    both = pairs.select(F.col("x").alias("body")).union(pairs.select("y")).distinct()
-    asked = classes_.join(both, "body", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    runs = _shingles(docs.join(asked, "doc_id", "left_semi"), shingle).groupBy("body").agg(F.first("runs").alias("runs"))
-    runs = written(runs, "runs")
-    shown = pairs.join(runs.select(F.col("body").alias("x"), F.col("runs").alias("rx")), "x").join(runs.select(F.col("body").alias("y"), F.col("runs").alias("ry")), "y")
-    common = F.size(F.array_intersect("rx", "ry"))
-    edges = shown.select(F.col("x").alias("a"), F.col("y").alias("b"), common.alias("n"), (F.size("rx") + F.size("ry") - common).alias("of")).where(F.col("n") >= least * F.col("of"))
-    comp = components(edges.select("a", "b"))
+    matchable = _matchable(docs, prints, classes_, shingle, least)
+    pairs = written(candidates(classes_.join(matchable, "body", "left_semi").select("body", "fa", "fb"), most_paired), "pairs")
+    edges = written(_alike(pairs, matchable, least), "alike")
+    for find in (_centred, rest):
+        comp = components(edges)
+        sets = matchable.join(comp, matchable.body == comp.node, "left").select("body", F.coalesce("component", "body").alias("set"))
+        more = written(find(_apart(matchable, sets), least), find.__name__)
+        edges = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(written(_alike(more, matchable, least), "alike"))
+    comp = components(edges)
     of = classes_.join(comp, classes_.body == comp.node, "left").select("body", "rep", F.coalesce("component", "body").alias("set"))
     of = written(of, "sets")
     first = of.groupBy("set").agg(F.min("rep").alias("component"))
-    return prints.join(of.join(first, "set").select("body", "component"), "body").select("doc_id", "component")
+    return prints.select("doc_id", "body").join(of.join(first, "set").select("body", "component"), "body").select("doc_id", "component")
 
 
 def keep_one_similar(docs: DataFrame, **options) -> DataFrame:
